@@ -25,15 +25,13 @@ def dense_index(
     keys: list[str],
     order: list[str],
     idx: str = "idx",
-    total: str | None = None,
     task_rows: int = TASK_ROWS,
     load: GroupLoad | None = None,
 ) -> DataFrame:
     """Number the rows of each key 0, 1, 2, … in ``order``.
 
-    ``keys`` may be empty for one numbering of the whole table. ``total`` names
-    an optional column holding the key's row count. ``order`` must be total
-    within a key for the result to be reproducible.
+    ``keys`` may be empty for one numbering of the whole table. ``order`` must
+    be total within a key for the result to be reproducible.
 
     While every key fits ``task_rows`` this is a window function. Beyond that
     the table is range partitioned on (keys, order), so that a dominant key is
@@ -42,17 +40,16 @@ def dense_index(
     """
     load = load or group_load(df, keys)
     if load.fits_task(task_rows):
-        return _by_window(df, keys, order, idx, total)
-    return _by_range(df, keys, order, idx, total, task_rows, load)
+        return _by_window(df, keys, order, idx)
+    return _by_range(df, keys, order, idx, task_rows, load)
 
 
-def _by_window(df, keys, order, idx, total) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    out = df.withColumn(idx, F.row_number().over(group.orderBy(*order)).cast("long") - 1)
-    return out.withColumn(total, F.count("*").over(group)) if total else out
+def _by_window(df, keys, order, idx) -> DataFrame:
+    rows = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(idx, F.row_number().over(rows).cast("long") - 1)
 
 
-def _by_range(df, keys, order, idx, total, task_rows, load) -> DataFrame:
+def _by_range(df, keys, order, idx, task_rows, load) -> DataFrame:
     parts = max(shuffle_partitions(df.sparkSession), math.ceil(load.rows / task_rows))
     # The partition and row number are only meaningful once fixed, so the sorted
     # table is written before anything is derived from them.
@@ -67,13 +64,11 @@ def _by_range(df, keys, order, idx, total, task_rows, load) -> DataFrame:
         F.count("*").alias("__n"), F.min("__row").alias("__first")
     )
     # At most one row per range partition and key: tiny even for a dominant key.
-    key = Window.partitionBy(*keys)
-    before = key.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shift = per_part.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
         F.col("__part").alias("__p"),
         (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
-        F.sum("__n").over(key).alias("__total"),
     )
     # Each boundary splits at most one key, which bounds the helper's rows.
     if load.groups + parts <= BROADCAST_ROWS:
@@ -81,7 +76,4 @@ def _by_range(df, keys, order, idx, total, task_rows, load) -> DataFrame:
     on: Column = F.col("__part") == F.col("__p")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    out = ranged.join(shift, on).withColumn(idx, F.col("__row") + F.col("__shift"))
-    if total:
-        out = out.withColumn(total, F.col("__total"))
-    return out.select(*df.columns, idx, *([total] if total else []))
+    return ranged.join(shift, on).select(*df.columns, (F.col("__row") + F.col("__shift")).alias(idx))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.operators.indexing import dense_index
@@ -11,8 +13,8 @@ from beatline.runtime import TASK_ROWS, group_load
 SIZE = 576
 SLIDE = 288
 
-# Consecutive windows of a key that travel together through the shuffle. Samples
-# are copied once per lane, not once per window, so 1/LANE of them move twice.
+# A lane holds about this many windows' worth of samples and is the unit of the
+# shuffle. Only the samples just before a lane travel twice, 1/LANE of them.
 LANE = 16
 
 
@@ -39,94 +41,97 @@ def watermark(df: DataFrame, column: str = "ts", delay: str | None = None) -> Da
     return df if delay is None else df.withWatermark(column, delay)
 
 
-def _clip(column: str, size: int, slide: int):
-    """First and last firing that hold a 0-based index."""
-    low = F.floor(F.col(column) / slide) + 1
-    high = F.floor((F.col(column) + size) / slide)
-    return low, high
-
-
-def count_window(
+def count_window_arrays(
     samples: DataFrame,
     size: int = SIZE,
     slide: int = SLIDE,
     key: str = "signame",
     order: tuple[str, ...] = ("ts", "tie"),
+    time: str = "ts",
+    value: str = "value",
     idx: str | None = None,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Assign every sample to the firings of a sliding count window.
+    """Firings of a per-key sliding count window: (key, k, times, ecg).
 
     Firing k = 1, 2, … happens when a key has k·slide samples and holds its last
     ``size`` of them, so early firings are short and a tail shorter than
-    ``slide`` never fires. Returns one row per (firing, sample) with ``k``,
-    ``pos`` (0-based within the firing) and ``lane``, the block of firings that
-    shares a partition; partition later steps by (key, lane, k).
+    ``slide`` never fires. ``times`` and ``ecg`` are parallel arrays in order.
 
     ``idx`` names an existing dense 0-based position column, which saves the
     ordering step.
+
+    Samples are packed into blocks of ``slide``, the newest part of exactly one
+    firing; a firing is its block joined to the blocks before it. Blocks of a
+    key are dealt to lanes, so a dominant key is spread over many tasks and a
+    sample crosses the shuffle once whatever ``size / slide`` is.
     """
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
-    if idx is None:
+    cols = [F.col(key), F.col(time).alias("__t"), F.col(value).alias("__x")]
+    spread = False
+    if idx is not None:
+        indexed = samples.select(*cols, F.col(idx).cast("long").alias("__i"))
+    else:
         load = group_load(samples, [key])
-        indexed = dense_index(
-            samples, [key], list(order), "__idx", "__n", task_rows, load
-        ).drop(*[c for c in ("lane", "k", "pos") if c in samples.columns])
-        # Signals already spread evenly over the tasks need no second shuffle.
+        indexed = dense_index(samples, [key], list(order), "__i", task_rows, load).select(*cols, "__i")
+        # Keys already spread evenly over the tasks need no second shuffle.
         parallelism = samples.sparkSession.sparkContext.defaultParallelism
         spread = load.fits_task(task_rows) and load.balanced(parallelism)
-        laned = _into_lanes(indexed, size, slide)
-        if not spread:
-            laned = laned.repartition(key, "lane")
-    else:
-        laned = _join_totals(_into_lanes(samples.withColumn("__idx", F.col(idx).cast("long")), size, slide), samples, key, idx, slide)
-    low, high = _clip("__idx", size, slide)
-    first = F.greatest(low, F.col("lane") * LANE + 1)
-    last = F.least(high, (F.col("lane") + 1) * LANE, F.floor(F.col("__n") / slide))
-    return (
-        laned.withColumn("__low", first)
-        .withColumn("__high", last)
-        # A descending sequence would invent firings.
-        .where("__high >= __low")
-        .withColumn("k", F.explode(F.sequence("__low", "__high")))
-        .withColumn("pos", F.col("__idx") - F.greatest(F.lit(0), F.col("k") * slide - size))
-        .drop("__low", "__high", "__idx", "__n")
-    )
-
 
-def _into_lanes(indexed: DataFrame, size: int, slide: int) -> DataFrame:
-    low, high = _clip("__idx", size, slide)
-    return (
-        indexed.where(high >= low)
-        .withColumn("lane", F.explode(F.sequence(F.floor((low - 1) / LANE), F.floor((high - 1) / LANE))))
+    span = math.ceil(size / slide)  # blocks in a full firing
+    lane_blocks = LANE * max(1, span - 1)
+    block = F.floor(F.col("__i") / slide)
+    laned = indexed.withColumn(
+        "__lane",
+        F.explode(F.sequence(F.floor(block / lane_blocks), F.floor((block + span - 1) / lane_blocks))),
     )
+    if not spread:
+        laned = laned.repartition(key, "__lane")
+    blocks = (
+        laned.withColumn("__b", block)
+        .groupBy(key, "__lane", "__b")
+        .agg(F.sort_array(F.collect_list(F.struct("__i", "__t", "__x"))).alias("__s"))
+        # Only a key's last block can be short, and it does not fire.
+        .where(F.size("__s") == slide)
+    )
+    rows = Window.partitionBy(key, "__lane").orderBy("__b").rowsBetween(1 - span, 0)
+    joined = blocks.select(
+        key,
+        "__lane",
+        "__b",
+        *[F.flatten(F.collect_list(F.col(f"__s.{c}")).over(rows)).alias(c) for c in ("__t", "__x")],
+    ).where(F.floor(F.col("__b") / lane_blocks) == F.col("__lane"))
+    newest = F.struct(
+        *[
+            F.slice(c, F.greatest(F.lit(1), F.size(c) - size + 1), size).alias(name)
+            for c, name in (("__t", "times"), ("__x", "ecg"))
+        ]
+    )
+    # The one-row generator fixes both arrays: as plain projections the optimizer
+    # would copy their expressions into every later use, lambdas included.
+    return joined.select(key, (F.col("__b") + 1).alias("k"), F.inline(F.array(newest)))
 
 
-def _join_totals(laned: DataFrame, samples: DataFrame, key: str, idx: str, slide: int) -> DataFrame:
-    """Attach the key's sample count, spelled out per lane so a dominant key splits."""
-    totals = (
-        samples.groupBy(key)
-        .agg((F.max(idx).cast("long") + 1).alias("__n"))
-        .where(F.col("__n") >= slide)
-        .withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.floor(F.col("__n") / slide) - 1) / LANE))))
-    )
-    return laned.join(totals, [key, "lane"])
+def count_window(samples: DataFrame, *args, key: str = "signame", **kw) -> DataFrame:
+    """One row per (firing, sample): (key, k, pos, ts, value), ``pos`` from 0.
+
+    Takes the arguments of ``count_window_arrays``.
+    """
+    return window_rows(count_window_arrays(samples, *args, key=key, **kw), key)
 
 
-def window_collect(windows: DataFrame, key: str = "signame", time: str = "ts", value: str = "value") -> DataFrame:
-    """One row per firing with parallel ``times`` and ``ecg`` arrays in arrival order."""
-    packed = windows.groupBy(key, "lane", "k").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.col(time).alias("t"), F.col(value).alias("x")))).alias("w")
+def window_rows(windows: DataFrame, key: str = "signame") -> DataFrame:
+    """Unpack firings into one row per sample."""
+    zipped = F.arrays_zip(F.col("times").alias("ts"), F.col("ecg").alias("value"))
+    return windows.select(key, "k", F.posexplode(zipped).alias("pos", "s")).select(
+        key, "k", F.col("pos").cast("long").alias("pos"), "s.ts", "s.value"
     )
-    return packed.select(key, "k", F.col("w.t").alias("times"), F.col("w.x").alias("ecg"))
 
 
-def window_explode(collected: DataFrame, key: str = "signame") -> DataFrame:
-    """The inverse of ``window_collect``: firing rows back to (k, lane, pos, ts, value)."""
-    return collected.select(
-        key,
-        "k",
-        F.floor((F.col("k") - 1) / LANE).alias("lane"),
-        F.posexplode(F.arrays_zip(F.col("times").alias("t"), F.col("ecg").alias("x"))).alias("pos", "s"),
-    ).select(key, "k", "lane", F.col("pos").cast("long").alias("pos"), F.col("s.t").alias("ts"), F.col("s.x").alias("value"))
+def window_collect(rows: DataFrame, key: str = "signame") -> DataFrame:
+    """Pack (key, k, pos, ts, value) rows into firings; a group is one firing."""
+    packed = rows.groupBy(key, "k").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "ts", "value"))).alias("s")
+    )
+    return packed.select(key, "k", F.col("s.ts").alias("times"), F.col("s.value").alias("ecg"))

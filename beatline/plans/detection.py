@@ -1,20 +1,19 @@
-"""Beat detection over windowed samples.
+"""Beat detection over count-window firings.
 
-Every step takes and returns a DataFrame whose rows belong to one firing of one
-signal, identified by (key, lane, k) as made by ``count_window``. All frames and
-aggregates below partition by those columns, so one shuffle serves the chain.
+A firing is one row (key, k, times, ecg), as made by ``count_window_arrays`` in
+batch or by the streaming front ends. Detection itself looks at one row at a
+time: it adds no shuffle, and the same frames serve batch and stream.
 
-    count_window → mark_peaks → segment → beats → classify → anomaly_rows
+    count_window_arrays → with_peaks → beat_segments → classify → anomaly_rows
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatline.operators.windows import SIZE, SLIDE, count_window
+from beatline.functions.arrays import peak_positions, teager, teager_sum
+from beatline.operators.windows import SIZE, SLIDE, count_window_arrays
 from beatline.runtime import TASK_ROWS
 
 # Fixed values of the method.
@@ -25,116 +24,95 @@ TEAGER_FLOOR = 0.018
 RR_FLOOR = 0.4
 
 
-def _firing(key: str):
-    return Window.partitionBy(key, "lane", "k")
-
-
-def mark_peaks(windows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, key: str = "signame") -> DataFrame:
-    """Flag R peaks: above ``threshold`` and the first maximum within ±``width``."""
-    rows = _firing(key).orderBy("pos")
-    x = F.col("value")
-    peak = x > threshold
-    if width > 0:
-        before = F.max("value").over(rows.rowsBetween(-width, -1))
-        after = F.max("value").over(rows.rowsBetween(1, width))
-        peak = peak & (before.isNull() | (before < x)) & (after.isNull() | (after <= x))
-    return windows.withColumn("is_peak", peak)
+def with_peaks(windows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+    """Add ``peaks``, the firing's R-peak positions."""
+    return windows.withColumn("peaks", peak_positions(F.col("ecg"), width, threshold))
 
 
 def r_peaks(windows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, key: str = "signame") -> DataFrame:
-    """The peak rows of each firing."""
-    return mark_peaks(windows, width, threshold, key).where("is_peak").drop("is_peak")
-
-
-def min_peaks_gate(windows: DataFrame, least: int = 2, width: int = WIDTH, threshold: float = THRESHOLD, key: str = "signame") -> DataFrame:
-    """Firings with at least ``least`` peaks, with their peak count."""
+    """One row per R peak: (key, k, pos, value)."""
     return (
-        mark_peaks(windows, width, threshold, key)
-        .groupBy(key, "lane", "k")
-        .agg(F.count_if("is_peak").alias("n_peaks"))
-        .where(F.col("n_peaks") >= least)
-        .drop("lane")
+        with_peaks(windows, width, threshold)
+        .select(key, "k", "ecg", F.explode("peaks").alias("pos"))
+        .select(key, "k", F.col("pos").cast("long").alias("pos"), F.get("ecg", F.col("pos")).alias("value"))
     )
 
 
-def segment(marked: DataFrame, key: str = "signame") -> DataFrame:
-    """Number the samples by the peak they follow (``seg`` 1, 2, …; 0 before any).
-
-    ``psi`` is the sample's Teager energy. The last sample of a segment gets
-    none: its formula would look past the closing peak.
-    """
-    rows = _firing(key).orderBy("pos")
-    ahead = F.lead("value", 1).over(rows)
-    psi = ahead * ahead - F.col("value") * F.lead("value", 2).over(rows)
-    closing = F.coalesce(F.lead("is_peak", 1).over(rows), F.lit(False))
-    return marked.withColumn(
-        "seg", F.sum(F.col("is_peak").cast("int")).over(rows.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("psi", F.when(~closing, psi))
+def min_peaks_gate(
+    windows: DataFrame, least: int = 2, width: int = WIDTH, threshold: float = THRESHOLD
+) -> DataFrame:
+    """Firings with at least ``least`` peaks."""
+    return with_peaks(windows, width, threshold).where(F.size("peaks") >= least)
 
 
-def beats(
-    segmented: DataFrame,
-    fs: float = FS,
-    width: int = WIDTH,
+def beat_segments(
+    windows: DataFrame,
     size: int = SIZE,
     slide: int = SLIDE,
-    time_mode: str = "reference",
+    width: int = WIDTH,
+    threshold: float = THRESHOLD,
     key: str = "signame",
 ) -> DataFrame:
-    """One row per pair of consecutive peaks in a firing.
+    """One row per pair of consecutive peaks of a firing.
 
-    ``len`` counts the slice including both peaks; mean energy divides by it and
-    ``rr`` is ``len / fs``. ``ecg`` is the slice. ``abs_start``/``abs_end`` are
-    the peaks' positions in the whole signal. ``time_mode='reference'`` stamps
-    beat i with the firing's i-th sample, ``'peak'`` with the opening peak's.
+    ``seg`` counts the pairs from 1. ``ecg`` is the slice including both peaks,
+    ``len`` its length, and ``abs_start``/``abs_end`` the peaks' positions in the
+    whole signal.
     """
-    if time_mode not in ("reference", "peak"):
-        raise ValueError("time_mode is 'reference' or 'peak'")
-    # Peaks lie more than `width` apart, so no firing holds more than this many.
-    most = math.ceil(size / (width + 1))
-    aggs = [
-        F.count("*").alias("n"),
-        F.min("pos").alias("start"),
-        F.max(F.when(F.col("is_peak"), F.col("value"))).alias("opening"),
-        F.coalesce(F.sum("psi"), F.lit(0.0)).alias("energy"),
-        F.collect_list(F.struct("pos", "value")).alias("slice"),
-    ]
-    if time_mode == "peak":
-        aggs.append(F.max(F.when(F.col("is_peak"), F.col("ts"))).alias("time"))
-    else:
-        aggs.append(F.collect_list(F.when(F.col("pos") < most, F.struct("pos", "ts"))).alias("stamps"))
-    segs = segmented.groupBy(key, "lane", "k", "seg").agg(*aggs)
-
-    # At most `most` + 1 rows per firing from here on.
-    rows = _firing(key).orderBy("seg")
-    out = segs.withColumn("closing", F.lead("opening").over(rows))
-    if time_mode == "reference":
-        # Ordinal i of a beat is seg - 1; it indexes the firing's own samples.
-        stamps = F.flatten(F.collect_list("stamps").over(rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        out = out.withColumn("stamps", stamps).withColumn(
-            "time", F.filter("stamps", lambda s: s["pos"] == F.col("seg") - 1)[0]["ts"]
-        )
-    length = F.col("n") + 1
     base = F.greatest(F.lit(0), F.col("k") * slide - size)
-    return out.where((F.col("seg") >= 1) & F.col("closing").isNotNull()).select(
-        key,
-        "lane",
-        "k",
-        "seg",
-        "start",
-        length.alias("len"),
-        (F.col("energy") / length).alias("avg_te"),
-        (length / fs).alias("rr"),
-        "time",
-        F.concat(F.sort_array("slice")["value"], F.array("closing")).alias("ecg"),
-        (F.col("start") + base).alias("abs_start"),
-        (F.col("start") + F.col("n") + base).alias("abs_end"),
+    # A firing with fewer than two peaks has no pair and leaves no row.
+    n_pairs = F.greatest(F.size("peaks") - 1, F.lit(0))
+    pairs = F.arrays_zip(
+        F.slice("peaks", F.lit(1), n_pairs).alias("a"), F.slice("peaks", F.lit(2), n_pairs).alias("b")
+    )
+    length = F.col("pair.b") - F.col("pair.a") + 1
+    return (
+        with_peaks(windows, width, threshold)
+        .select(key, "k", "times", "ecg", F.posexplode(pairs).alias("i", "pair"))
+        .select(
+            key,
+            "k",
+            (F.col("i") + 1).cast("long").alias("seg"),
+            F.col("pair.a").cast("long").alias("start"),
+            length.cast("long").alias("len"),
+            "times",
+            F.slice("ecg", F.col("pair.a") + 1, length).alias("ecg"),
+            (F.col("pair.a") + base).alias("abs_start"),
+            (F.col("pair.b") + base).alias("abs_end"),
+        )
     )
 
 
-def classify(beat_rows: DataFrame, te_floor: float = TEAGER_FLOOR, rr_floor: float = RR_FLOOR) -> DataFrame:
-    """Keep abnormal beats: low mean energy or a short interval, both strict."""
-    return beat_rows.where((F.col("avg_te") < te_floor) | (F.col("rr") < rr_floor)).withColumn(
+def teager_energy(segments: DataFrame) -> DataFrame:
+    """Add ``psi``, the slice's Teager energy sample by sample."""
+    return segments.withColumn("psi", teager(F.col("ecg")))
+
+
+def avg_teager(segments: DataFrame) -> DataFrame:
+    """Add ``avg_te``: summed energy over the whole slice length."""
+    return segments.withColumn("avg_te", teager_sum(F.col("ecg")) / F.col("len"))
+
+
+def rr_interval(segments: DataFrame, fs: float = FS) -> DataFrame:
+    """Add ``rr``: the slice's sample count in seconds."""
+    return segments.withColumn("rr", F.col("len") / fs)
+
+
+def beat_timestamp(segments: DataFrame, time_mode: str = "reference") -> DataFrame:
+    """Add ``time``.
+
+    ``'reference'`` stamps the i-th beat of a firing with the firing's i-th
+    sample, ``'peak'`` with the sample of the beat's opening peak.
+    """
+    if time_mode not in ("reference", "peak"):
+        raise ValueError("time_mode is 'reference' or 'peak'")
+    at = F.col("seg") - 1 if time_mode == "reference" else F.col("start")
+    return segments.withColumn("time", F.get("times", at.cast("int")))
+
+
+def classify_beat(segments: DataFrame, te_floor: float = TEAGER_FLOOR, rr_floor: float = RR_FLOOR) -> DataFrame:
+    """Keep abnormal beats: a short interval or low mean energy, both strict."""
+    return segments.where((F.col("rr") < rr_floor) | (F.col("avg_te") < te_floor)).withColumn(
         "abnormal", F.lit("TRUE")
     )
 
@@ -145,11 +123,6 @@ def drop_repeats(anomalies: DataFrame, key: str = "signame") -> DataFrame:
     return anomalies.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy")
 
 
-def beat_segments(windows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, key: str = "signame", **kw) -> DataFrame:
-    """Windowed samples to beats, without classifying them."""
-    return beats(segment(mark_peaks(windows, width, threshold, key), key), width=width, key=key, **kw)
-
-
 def detect_in_windows(
     windows: DataFrame,
     size: int = SIZE,
@@ -163,12 +136,9 @@ def detect_in_windows(
     dedup: bool = False,
     key: str = "signame",
 ) -> DataFrame:
-    """Abnormal beats of already windowed samples; batch and stream share this."""
-    found = classify(
-        beat_segments(windows, width, threshold, key, fs=fs, size=size, slide=slide, time_mode=time_mode),
-        te_floor,
-        rr_floor,
-    )
+    """Abnormal beats of given firings. ``dedup`` is for batch frames only."""
+    segments = rr_interval(avg_teager(beat_segments(windows, size, slide, width, threshold, key)), fs)
+    found = classify_beat(beat_timestamp(segments, time_mode), te_floor, rr_floor).drop("times")
     return drop_repeats(found, key) if dedup else found
 
 
@@ -183,9 +153,7 @@ def detect_anomalies(
     **kw,
 ) -> DataFrame:
     """Samples in, abnormal beats out."""
-    windows = count_window(
-        samples.select(key, *order, "value", *([idx] if idx else [])), size, slide, key, order, idx, task_rows
-    )
+    windows = count_window_arrays(samples, size, slide, key, order, idx=idx, task_rows=task_rows)
     return detect_in_windows(windows, size, slide, key=key, **kw)
 
 
