@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatline.operators.halo import CHUNK, only_own, with_halo
+from beatline.operators.halo import CHUNK, join_per_group, only_own, with_halo
 
 
 def normalise(
@@ -16,18 +16,12 @@ def normalise(
     A constant group becomes 0. The group's mean and deviation are aggregated,
     then joined per (group, chunk): a dominant group is joined in many tasks.
     """
-    stats = (
-        df.groupBy(*group)
-        .agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__sd"), F.max(pos).alias("__last"))
-        .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("__last") / chunk))))
-        .select(*[F.col(g).alias(f"__g_{g}") for g in group], F.col("__chunk").alias("__c"), "__mean", "__sd")
+    stats = df.groupBy(*group).agg(
+        F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__sd"), F.max(pos).alias("__last")
     )
-    on = F.floor(F.col(pos) / chunk) == F.col("__c")
-    for g in group:
-        on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
     scale = F.when(F.col("__sd") == 0, F.lit(1.0)).otherwise(F.col("__sd"))
     return (
-        df.join(stats, on)
+        join_per_group(df, stats, group, pos, "__last", chunk=chunk)
         .withColumn(value, (F.col(value) - F.col("__mean")) / scale)
         .select(*df.columns)
     )

@@ -34,7 +34,9 @@ def latest_events(table: DataFrame, signame: str, rows: int = REPORT_ROWS) -> Da
 
 def recent_events(table: DataFrame, seconds: int = RECENT_SECONDS, rows: int = REPORT_ROWS) -> DataFrame:
     """The oldest rows of the table's last ``seconds``, oldest first."""
-    since = table.agg((F.max("time") - F.expr(f"INTERVAL '{int(seconds)}' SECOND")).alias("since")).scalar()
+    zero = F.lit(0)
+    window = F.make_dt_interval(zero, zero, zero, F.lit(seconds).cast("decimal(18,6)"))
+    since = table.agg((F.max("time") - window).alias("since")).scalar()
     recent = table.where(F.col("time") > since)
     if "date" in table.columns:
         recent = recent.where(F.col("date") >= F.to_date(since))

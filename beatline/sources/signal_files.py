@@ -10,22 +10,21 @@ from pyspark.sql import functions as F
 RECORD = r"([^/=]+?)(?:_signals\.txt)?(?:/part-[^/]*)?$"
 
 
-def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -> DataFrame:
-    """Signal files to (record, idx, value), ``idx`` counting lines from 0.
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines as (record, idx, text), ``idx`` counting a record's lines from 0.
 
     A file is read in splits, so a long recording is many tasks. Lines are
     numbered inside their split and shifted by the lines before it. Lines that
-    are not UTF-8 are skipped and not counted; a line that is not a number has a
-    null value. ``keep_text`` adds the line itself as ``text``.
+    are not UTF-8 are skipped and not counted.
     """
-    meta = "_metadata"
+    name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     lines = (
         spark.read.text(path)
         .where(F.is_valid_utf8("value"))
         .select(
-            F.regexp_extract(F.url_decode(f"{meta}.file_path"), RECORD, 1).alias("record"),
-            F.col(f"{meta}.file_path").alias("__file"),
-            F.col(f"{meta}.file_block_start").alias("__at"),
+            F.regexp_extract(name, RECORD, 1).alias("record"),
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__at"),
             F.col("value").alias("text"),
         )
         # Increases line by line within a split, which is all it is used for.
@@ -43,16 +42,29 @@ def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -
             F.coalesce(F.sum("__lines").over(before), F.lit(0)).alias("__shift"),
         )
     )
-    # Joining on the numbering's own partitioning moves only the small side.
+    # The join uses the numbering's own partitioning, so only the small side moves.
     placed = numbered.join(shifts, (F.col("__file") == F.col("__f")) & (F.col("__at") == F.col("__a")))
-    return placed.select(
+    return placed.select("record", (F.col("__n") + F.col("__shift")).alias("idx"), "text")
+
+
+def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -> DataFrame:
+    """Signal files to (record, idx, value); a line that is no number has a null value.
+
+    ``keep_text`` adds the line itself as ``text``.
+    """
+    return _numbered_lines(spark, path).select(
         "record",
-        (F.col("__n") + F.col("__shift")).alias("idx"),
+        "idx",
         F.trim("text").try_cast("double").alias("value"),
         *(["text"] if keep_text else []),
     )
 
 
+def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A list of record names, one per line, as (record, line)."""
+    return _numbered_lines(spark, path).select(F.trim("text").alias("record"), F.col("idx").alias("line"))
+
+
 def write_signal_files(samples: DataFrame, path: str, record: str = "record", idx: str = "idx", value: str = "value") -> None:
     """Samples to text under ``path/record=<record>/``, in order.
 
