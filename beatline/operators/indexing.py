@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from beatline.runtime import (
     TASK_ROWS,
     GroupLoad,
     group_load,
-    shuffle_partitions,
+    partitions_for,
     store,
 )
 
@@ -50,7 +48,7 @@ def _by_window(df, keys, order, idx) -> DataFrame:
 
 
 def _by_range(df, keys, order, idx, task_rows, load) -> DataFrame:
-    parts = max(shuffle_partitions(df.sparkSession), math.ceil(load.rows / task_rows))
+    parts = partitions_for(df.sparkSession, load.rows, task_rows)
     # The partition and row number are only meaningful once fixed, so the sorted
     # table is written before anything is derived from them.
     ranged = store(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.operators.indexing import dense_index
-from beatline.runtime import TASK_ROWS, group_load
+from beatline.runtime import TASK_ROWS, group_load, spread_by
 
 SIZE = 576
 SLIDE = 288
@@ -69,11 +69,12 @@ def count_window_arrays(
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
     cols = [F.col(key), F.col(time).alias("__t"), F.col(value).alias("__x")]
-    spread = False
+    spread, rows = False, None
     if idx is not None:
         indexed = samples.select(*cols, F.col(idx).cast("long").alias("__i"))
     else:
         load = group_load(samples, [key])
+        rows = load.rows
         indexed = dense_index(samples, [key], list(order), "__i", task_rows, load).select(*cols, "__i")
         # Keys already spread evenly over the tasks need no second shuffle.
         parallelism = samples.sparkSession.sparkContext.defaultParallelism
@@ -87,7 +88,7 @@ def count_window_arrays(
         F.explode(F.sequence(F.floor(block / lane_blocks), F.floor((block + span - 1) / lane_blocks))),
     )
     if not spread:
-        laned = laned.repartition(key, "__lane")
+        laned = spread_by(laned, [key, "__lane"], rows, task_rows)
     blocks = (
         laned.withColumn("__b", block)
         .groupBy(key, "__lane", "__b")
@@ -95,12 +96,12 @@ def count_window_arrays(
         # Only a key's last block can be short, and it does not fire.
         .where(F.size("__s") == slide)
     )
-    rows = Window.partitionBy(key, "__lane").orderBy("__b").rowsBetween(1 - span, 0)
+    held = Window.partitionBy(key, "__lane").orderBy("__b").rowsBetween(1 - span, 0)
     joined = blocks.select(
         key,
         "__lane",
         "__b",
-        *[F.flatten(F.collect_list(F.col(f"__s.{c}")).over(rows)).alias(c) for c in ("__t", "__x")],
+        *[F.flatten(F.collect_list(F.col(f"__s.{c}")).over(held)).alias(c) for c in ("__t", "__x")],
     ).where(F.floor(F.col("__b") / lane_blocks) == F.col("__lane"))
     newest = F.struct(
         *[

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # Rows one task may sort on its own; larger groups take the split path.
 TASK_ROWS = 2_000_000
 
+# Most partitions one shuffle is asked for; its block count is their square.
+MOST_PARTITIONS = 32_768
+
 # Rows of helper table (a few longs each) that may be broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -74,5 +77,19 @@ def group_load(df: DataFrame, keys: list[str]) -> GroupLoad:
     return GroupLoad(int(row[0] or 0), int(row[1]), int(row[2] or 0))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions_for(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> int:
+    """Shuffle width for ``rows``: the session's setting, or more where that is too narrow."""
+    wanted = min(-(-rows // task_rows), MOST_PARTITIONS)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+def spread_by(df: DataFrame, columns: list[str], rows: int | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Hash partition by ``columns``, wider than the session's setting for many ``rows``.
+
+    Without a need for more partitions the width is left to adaptive execution.
+    """
+    spark = df.sparkSession
+    wide = partitions_for(spark, rows or 0, task_rows)
+    if wide > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(wide, *columns)
+    return df.repartition(*columns)

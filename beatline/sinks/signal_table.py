@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.operators.indexing import dense_index
-from beatline.runtime import TASK_ROWS
+from beatline.runtime import store
 from beatline.schemas import SIGNAL_SAMPLES
 
 # Declared lengths of the table's text columns.
@@ -15,11 +15,19 @@ NAME_LENGTH = 50
 FLAG_LENGTH = 5
 
 
+# Rows with waveforms that one task may sort on its own.
+TASK_BEATS = 50_000
+
+
 def assign_id(
-    rows: DataFrame, order: tuple[str, ...] = ("signame", "k", "seg"), task_rows: int = TASK_ROWS
+    rows: DataFrame, order: tuple[str, ...] = ("signame", "k", "seg"), task_rows: int = TASK_BEATS
 ) -> DataFrame:
-    """Add ``id`` 1, 2, … in ``order``, which must be total."""
-    return dense_index(rows, [], list(order), "id", task_rows).withColumn("id", F.col("id") + 1)
+    """Add ``id`` 1, 2, … in ``order``, which must be total.
+
+    The rows are stored first: numbering them takes more than one pass, and what
+    finds them costs far more than reading them back.
+    """
+    return dense_index(store(rows, "unnumbered"), [], list(order), "id", task_rows).withColumn("id", F.col("id") + 1)
 
 
 def stable_id(rows: DataFrame, columns: tuple[str, ...] = ("signame", "k", "seg")) -> DataFrame:

@@ -2,27 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatline.operators.indexing import dense_index
+from beatline.runtime import TASK_ROWS
 
-# Fixed name forms: "<record>_signals.txt", or the folder "record=<record>".
-RECORD = r"([^/=]+?)(?:_signals\.txt)?(?:/part-[^/]*)?$"
+# Fixed name forms: the file "<record>_signals.txt", or "part-*" files in the
+# folder "record=<record>".
+SUFFIX = "_signals.txt"
+PART = "part-"
 
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def _record_name(path: Column) -> Column:
+    """The record a file belongs to, by cheap string cuts: it is worked out per line."""
+    last = F.substring_index(path, "/", -1)
+    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    name = F.substring_index(F.when(F.startswith(last, F.lit(PART)), parent).otherwise(last), "=", -1)
+    name = F.when(
+        F.endswith(name, F.lit(SUFFIX)), F.substr(name, F.lit(1), F.length(name) - len(SUFFIX))
+    ).otherwise(name)
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
+
+
+def _numbered_lines(spark: SparkSession, path: str, task_rows: int) -> DataFrame:
     """Text lines as (record, idx, text), ``idx`` counting a record's lines from 0.
 
-    A file is read in splits, so a long recording is many tasks. Lines are
-    numbered inside their split and shifted by the lines before it. Lines that
-    are not UTF-8 are skipped and not counted.
+    Files are read in splits, so a long recording is many tasks. Lines order by
+    file name, place of the split and row within it. Lines that are not UTF-8
+    are skipped and not counted.
     """
-    name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     lines = (
         spark.read.text(path)
         .where(F.is_valid_utf8("value"))
         .select(
-            F.regexp_extract(name, RECORD, 1).alias("record"),
+            _record_name(F.col("_metadata.file_path")).alias("record"),
             F.col("_metadata.file_path").alias("__file"),
             F.col("_metadata.file_block_start").alias("__at"),
             F.col("value").alias("text"),
@@ -30,29 +45,20 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         # Increases line by line within a split, which is all it is used for.
         .withColumn("__seq", F.monotonically_increasing_id())
     )
-    split = ["__file", "__at"]
-    numbered = lines.withColumn("__n", F.row_number().over(Window.partitionBy(*split).orderBy("__seq")) - 1)
-    before = Window.partitionBy("record").orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        lines.groupBy("record", *split)
-        .agg(F.count("*").alias("__lines"))
-        .select(
-            F.col("__file").alias("__f"),
-            F.col("__at").alias("__a"),
-            F.coalesce(F.sum("__lines").over(before), F.lit(0)).alias("__shift"),
-        )
-    )
-    # The join uses the numbering's own partitioning, so only the small side moves.
-    placed = numbered.join(shifts, (F.col("__file") == F.col("__f")) & (F.col("__at") == F.col("__a")))
-    return placed.select("record", (F.col("__n") + F.col("__shift")).alias("idx"), "text")
+    # Part numbers of five digits sort by name, longer ones by length first.
+    lines = lines.withColumn("__len", F.length("__file"))
+    indexed = dense_index(lines, ["record"], ["__len", "__file", "__at", "__seq"], "idx", task_rows)
+    return indexed.select("record", "idx", "text")
 
 
-def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -> DataFrame:
+def scan_signal_files(
+    spark: SparkSession, path: str, keep_text: bool = False, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Signal files to (record, idx, value); a line that is no number has a null value.
 
     ``keep_text`` adds the line itself as ``text``.
     """
-    return _numbered_lines(spark, path).select(
+    return _numbered_lines(spark, path, task_rows).select(
         "record",
         "idx",
         F.trim("text").try_cast("double").alias("value"),
@@ -62,7 +68,7 @@ def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A list of record names, one per line, as (record, line)."""
-    return _numbered_lines(spark, path).select(F.trim("text").alias("record"), F.col("idx").alias("line"))
+    return _numbered_lines(spark, path, TASK_ROWS).select(F.trim("text").alias("record"), F.col("idx").alias("line"))
 
 
 def write_signal_files(samples: DataFrame, path: str, record: str = "record", idx: str = "idx", value: str = "value") -> None:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from beatline.operators.halo import join_per_group
 from beatline.operators.indexing import dense_index
 from beatline.operators.windows import SIZE, SLIDE, count_window_arrays
-from beatline.runtime import TASK_ROWS
+from beatline.runtime import TASK_ROWS, group_load
 
 STATE = "n bigint, times array<timestamp_ntz>, ecg array<double>"
 
@@ -71,9 +71,12 @@ def stateful_windows(samples: DataFrame, size: int = SIZE, slide: int = SLIDE, k
 class CarryWindows:
     """Firings of one micro-batch, continuing from the batch before it.
 
-    Each batch writes its keys' tails to ``<path>/batch=<id>``. A retried batch
+    Each batch writes its indexed samples, with the tails it started from, to
+    ``<path>/batch=<id>``, where the next batch finds them. A retried batch
     reads the same predecessor and replaces its own folder, so replays do not
-    change the result. Within a batch and a key, samples are in (ts, tie) order.
+    change the result. Folders before the last two are not read again.
+
+    Within a batch and a key, samples are in (ts, tie) order.
     """
 
     def __init__(
@@ -83,52 +86,50 @@ class CarryWindows:
         self.spark, self.path = spark, path.rstrip("/")
         self.size, self.slide, self.key, self.task_rows = size, slide, key, task_rows
 
-    def _schema(self) -> T.StructType:
-        return T.StructType([
+    def _read(self, batch: int) -> DataFrame:
+        schema = T.StructType([
             T.StructField(self.key, T.StringType()),
             T.StructField("idx", T.LongType()),
             T.StructField("ts", T.TimestampNTZType()),
             T.StructField("value", T.DoubleType()),
+            T.StructField("fresh", T.BooleanType()),
         ])
+        if batch < 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/batch={batch}")
 
     def _tails(self, batch: int) -> DataFrame:
-        """The last samples of every key seen before ``batch``."""
-        if batch == 0:
-            return self.spark.createDataFrame([], self._schema())
-        return self.spark.read.schema(self._schema()).parquet(f"{self.path}/batch={batch - 1}")
+        """Each key's last ``size`` samples before ``batch``, from the start of their block."""
+        newest = Window.partitionBy(self.key).orderBy(F.desc("idx"))
+        begin = F.floor((F.first("idx").over(newest) + 1 - self.size) / self.slide) * self.slide
+        return (
+            self._read(batch - 1)
+            # Spark trims each task to the newest few before the shuffle by key.
+            .withColumn("__r", F.row_number().over(newest))
+            .where(F.col("__r") <= self.size + self.slide)
+            .withColumn("__begin", begin)
+            .where(F.col("idx") >= F.col("__begin"))
+            .drop("__r", "__begin")
+        )
 
     def next(self, samples: DataFrame, batch: int) -> DataFrame:
         """The firings that ``samples``, micro-batch ``batch``, bring about."""
         key = self.key
         tails = self._tails(batch)
-        counted = tails.groupBy(key).agg((F.max("idx") + 1).alias("__before"))
+        load = group_load(samples, [key])
         arrived = dense_index(
-            samples.select(key, "ts", "tie", "value"), [key], ["ts", "tie"], "__i", self.task_rows
+            samples.select(key, "ts", "tie", "value"), [key], ["ts", "tie"], "__i", self.task_rows, load
         )
-        starts = arrived.groupBy(key).agg(F.max("__i").alias("__last")).join(counted, key)
+        before = tails.groupBy(key).agg((F.max("idx") + 1).alias("__before"))
+        starts = samples.groupBy(key).agg((F.count("*") - 1).alias("__last")).join(before, key)
         fresh = join_per_group(arrived, starts, [key], "__i", "__last", "left").select(
-            key, (F.col("__i") + F.coalesce("__before", F.lit(0))).alias("idx"), "ts", "value"
+            key, (F.col("__i") + F.coalesce("__before", F.lit(0))).alias("idx"), "ts", "value",
+            F.lit(True).alias("fresh"),
         )
-        held = tails.withColumn("fresh", F.lit(False)).unionByName(fresh.withColumn("fresh", F.lit(True)))
-        self._keep(held, batch)
-
-        windows = count_window_arrays(
-            held.withColumn("stamp", F.struct("ts", "fresh")), self.size, self.slide, key, time="stamp", idx="idx"
+        tails.withColumn("fresh", F.lit(False)).unionByName(fresh).write.mode("overwrite").parquet(
+            f"{self.path}/batch={batch}"
         )
+        held = self._read(batch).withColumn("stamp", F.struct("ts", "fresh"))
+        windows = count_window_arrays(held, self.size, self.slide, key, time="stamp", idx="idx")
         # A firing whose last sample is old has happened already.
         return windows.where(F.element_at("times", -1)["fresh"]).withColumn("times", F.col("times.ts"))
-
-    def _keep(self, held: DataFrame, batch: int) -> None:
-        """Write each key's last ``size`` samples, from the start of their block."""
-        newest = Window.partitionBy(self.key).orderBy(F.desc("idx"))
-        # Spark trims each task to the newest few before the shuffle by key.
-        last = held.withColumn("__r", F.row_number().over(newest)).where(F.col("__r") <= self.size + self.slide)
-        end = F.first("idx").over(newest) + 1
-        begin = F.floor((end - self.size) / self.slide) * self.slide
-        (
-            last.withColumn("__begin", begin)
-            .where(F.col("idx") >= F.col("__begin"))
-            .select(self.key, "idx", "ts", "value")
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/batch={batch}")
-        )

@@ -28,13 +28,14 @@ def test_undecodable_line_is_not_counted(spark, tmp_path):
     assert [(r.idx, r.value) for r in rows] == [(0, 1.0), (1, 2.0)]
 
 
-def test_one_file_read_in_many_splits(spark, tmp_path):
+@pytest.mark.parametrize("task_rows", [10**6, 4000])
+def test_one_file_read_in_many_splits(spark, tmp_path, task_rows):
     (tmp_path / "1_signals.txt").write_text("".join(f"{i}.0\n" for i in range(30_000)))
     (tmp_path / "2_signals.txt").write_text("5.0\n6.0\n")
     was = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        df = signal_files.scan_signal_files(spark, str(tmp_path))
+        df = signal_files.scan_signal_files(spark, str(tmp_path), task_rows=task_rows)
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
         assert df.count() == 30_002
         assert df.where("record = '1' and value != idx").count() == 0
