@@ -64,7 +64,7 @@ def _fields(value: str) -> Column:
     return F.split(F.col(value).cast("string"), ",")
 
 
-def _sample(messages: DataFrame, value: str) -> DataFrame:
+def _sample(messages: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
     parts = _fields(value)
     number = F.trim(F.get(parts, F.lit(2))).try_cast("double")
     return messages.select(
@@ -73,24 +73,28 @@ def _sample(messages: DataFrame, value: str) -> DataFrame:
         # NaN would order above every peak; it is not a sample.
         F.when(~F.isnan(number), number).alias("value"),
         F.col(value).alias("message"),
+        *keep,
     )
 
 
-def parse_sample(messages: DataFrame, value: str = "value") -> DataFrame:
+def parse_sample(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Message bytes to (signame, time, value); fields after the third are ignored.
 
-    Fails the job on a message with fewer fields or without a number.
+    Fails the job on a message with fewer fields or without a number. ``keep``
+    names further columns to carry along, such as a topic's ``offset``.
     """
-    parsed = _sample(messages, value)
+    parsed = _sample(messages, value, keep)
     complaint = F.raise_error(F.concat(F.lit("bad sample message: "), F.coalesce(F.col("message").cast("string"), F.lit("null"))))
-    return parsed.select("signame", "time", F.coalesce("value", complaint.cast("double")).alias("value"))
+    return parsed.select("signame", "time", F.coalesce("value", complaint.cast("double")).alias("value"), *keep)
 
 
-def parse_sample_quarantine(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+def parse_sample_quarantine(
+    messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """As ``parse_sample``, but returns (good samples, messages that did not parse)."""
-    parsed = _sample(messages, value)
-    good = parsed.where(F.col("value").isNotNull()).select("signame", "time", "value")
-    bad = parsed.where(F.col("value").isNull()).select("message")
+    parsed = _sample(messages, value, keep)
+    good = parsed.where(F.col("value").isNotNull()).select("signame", "time", "value", *keep)
+    bad = parsed.where(F.col("value").isNull()).select("message", *keep)
     return good, bad
 
 

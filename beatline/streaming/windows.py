@@ -12,7 +12,7 @@ in a table between batches, so a dominant key is spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,42 +93,41 @@ class CarryWindows:
             T.StructField("ts", T.TimestampNTZType()),
             T.StructField("value", T.DoubleType()),
             T.StructField("fresh", T.BooleanType()),
+            T.StructField("tail", T.BooleanType()),
         ])
         if batch < 0:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.path}/batch={batch}")
 
-    def _tails(self, batch: int) -> DataFrame:
-        """Each key's last ``size`` samples before ``batch``, from the start of their block."""
-        newest = Window.partitionBy(self.key).orderBy(F.desc("idx"))
-        begin = F.floor((F.first("idx").over(newest) + 1 - self.size) / self.slide) * self.slide
-        return (
-            self._read(batch - 1)
-            # Spark trims each task to the newest few before the shuffle by key.
-            .withColumn("__r", F.row_number().over(newest))
-            .where(F.col("__r") <= self.size + self.slide)
-            .withColumn("__begin", begin)
-            .where(F.col("idx") >= F.col("__begin"))
-            .drop("__r", "__begin")
-        )
-
     def next(self, samples: DataFrame, batch: int) -> DataFrame:
         """The firings that ``samples``, micro-batch ``batch``, bring about."""
         key = self.key
-        tails = self._tails(batch)
+        tails = self._read(batch - 1).where("tail").select(key, "idx", "ts", "value")
         load = group_load(samples, [key])
         arrived = dense_index(
             samples.select(key, "ts", "tie", "value"), [key], ["ts", "tie"], "__i", self.task_rows, load
         )
         before = tails.groupBy(key).agg((F.max("idx") + 1).alias("__before"))
-        starts = samples.groupBy(key).agg((F.count("*") - 1).alias("__last")).join(before, key)
-        fresh = join_per_group(arrived, starts, [key], "__i", "__last", "left").select(
-            key, (F.col("__i") + F.coalesce("__before", F.lit(0))).alias("idx"), "ts", "value",
-            F.lit(True).alias("fresh"),
+        starts = (
+            samples.groupBy(key)
+            .agg((F.count("*") - 1).alias("__last"))
+            .join(before, key, "left")
+            .withColumn("__before", F.coalesce("__before", F.lit(0)))
+            .withColumn("__end", F.col("__before") + F.col("__last") + 1)
         )
-        tails.withColumn("fresh", F.lit(False)).unionByName(fresh).write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch}"
+        # A tail is the last `size` samples, from the start of their block.
+        in_tail = F.col("idx") >= F.floor((F.col("__end") - self.size) / self.slide) * self.slide
+        fresh = join_per_group(arrived, starts, [key], "__i", "__last").withColumn(
+            "idx", F.col("__i") + F.col("__before")
         )
+        # A key without new samples keeps its tail.
+        old = tails.join(starts.select(key, "__end"), key, "left")
+        parts = [
+            rows.select(key, "idx", "ts", "value", F.lit(new).alias("fresh"), F.coalesce(in_tail, F.lit(True)).alias("tail"))
+            for rows, new in ((old, False), (fresh, True))
+        ]
+        parts[0].unionByName(parts[1]).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
         held = self._read(batch).withColumn("stamp", F.struct("ts", "fresh"))
         windows = count_window_arrays(held, self.size, self.slide, key, time="stamp", idx="idx")
         # A firing whose last sample is old has happened already.

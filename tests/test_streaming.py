@@ -6,7 +6,8 @@ from beatline.operators.windows import count_window_arrays
 from beatline.plans.detection import detect_anomalies
 from beatline.schemas import SAMPLES
 from beatline.sinks.signal_table import read_signal_samples, stable_id
-from beatline.sources.messages import encode_message, event_time, parse_sample, source_stream
+from beatline.sources.messages import encode_message, event_time, parse_sample, replay_timestamps, source_stream
+from beatline.sources.signal_files import scan_signal_files
 from beatline.streaming.detection import detect_stream, windows_stream
 from beatline.streaming.windows import CarryWindows
 
@@ -72,3 +73,25 @@ def test_messages_to_samples_on_a_stream(spark, tmp_path):
     query.awaitTermination()
     got = sorted((r.signame, r.ts, r.value) for r in spark.table("parsed").collect())
     assert got == sorted((r.signame, r.ts, r.value) for r in df.collect())
+
+
+def test_recordings_to_table(spark, tmp_path):
+    """Files, replay, messages, stream, detection, table: the whole way."""
+    signals = {"100": SIGNALS["long"], "101": SIGNALS["long"][150:290]}
+    for name, xs in signals.items():
+        (tmp_path / f"{name}_signals.txt").write_text("".join(f"{x:.32f}\n" for x in xs))
+    kw = dict(width=2, rr_floor=6 / 360, **KW)
+    files = scan_signal_files(spark, str(tmp_path / "*_signals.txt")).withColumnRenamed("record", "signame")
+    stamped = replay_timestamps(files, "2024-01-01 12:00:00")
+    topic, table, check = (str(tmp_path / p) for p in ("topic", "table", "check"))
+    sent = encode_message(stamped).withColumn("offset", F.monotonically_increasing_id())
+    sent.write.parquet(topic)
+
+    received = parse_sample(source_stream(spark, "parquet", topic, sent.schema), keep=("offset",))
+    stream = event_time(received, "2024-01-01").withColumnRenamed("offset", "tie")
+    detect_stream(stream, table, check, **kw).awaitTermination()
+
+    cols = ["signame", "time", "ecg"]
+    want = detect_anomalies(stamped, order=("ts",), idx="idx", **kw).select(cols).collect()
+    assert want
+    assert sorted(map(repr, read_signal_samples(spark, table).select(cols).collect())) == sorted(map(repr, want))
