@@ -35,9 +35,9 @@ def stable_id(rows: DataFrame, columns: tuple[str, ...] = ("signame", "k", "seg"
     return rows.withColumn("id", F.xxhash64(*columns))
 
 
-def time_chunk(rows: DataFrame, unit: str = "minute", time: str = "time") -> DataFrame:
+def time_chunk(rows: DataFrame, interval: str = "1 minute", time: str = "time") -> DataFrame:
     """Add ``chunk``, the start of the row's time range."""
-    return rows.withColumn("chunk", F.date_trunc(unit, time).cast("timestamp_ntz"))
+    return rows.withColumn("chunk", F.window(time, interval)["start"])
 
 
 def unique_signal_time(rows: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Samples as topic messages: stamping, encoding, subscribing, parsing."""
+"""Samples as topic messages: stamping, encoding, subscribing, parsing.
+
+One message is the text "<signame>,<HH:mm:ss.SSS>,<value>".
+"""
 
 from __future__ import annotations
 
@@ -6,12 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from beatline.functions.times import clock_text
+
 FS = 360.0
 TOPIC = "ecg-topic2"
 
-# Fixed format: one message is "<signame>,<HH:mm:ss.SSS>,<value>".
-TIME_FORMAT = "HH:mm:ss.SSS"
-
 
 def replay_timestamps(indexed: DataFrame, start: str, fs: float = FS, idx: str = "idx") -> DataFrame:
     """Add event time ``ts`` and its time-of-day text ``time`` from the sample index.
@@ -22,7 +24,7 @@ def replay_timestamps(indexed: DataFrame, start: str, fs: float = FS, idx: str =
     seconds = F.round(F.col(idx) / fs, 3).cast(T.DecimalType(18, 6))
     zero = F.lit(0)
     ts = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
-    return indexed.withColumn("ts", ts).withColumn("time", F.date_format("ts", TIME_FORMAT))
+    return indexed.withColumn("ts", ts).withColumn("time", clock_text(F.col("ts")))
 
 
 def encode_message(samples: DataFrame, key: str = "signame", time: str = "time", value: str = "value") -> DataFrame:

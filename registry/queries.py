@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatline.functions import arrays
+from beatline.functions.times import clock_text
 from beatline.operators import peaks, shape, windows
 from beatline.operators.indexing import dense_index
 from beatline.plans import detection, serving
@@ -84,7 +85,7 @@ def replay_timestamps(spark, sf):
 
 
 def _timed(spark, sf):
-    return samples(spark, sf).withColumn("time", F.date_format("ts", messages.TIME_FORMAT))
+    return samples(spark, sf).withColumn("time", clock_text(F.col("ts")))
 
 
 def encode_message(spark, sf):

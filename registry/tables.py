@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatline.functions.times import stamp_text
+
 # Narrow keys: five long signals, the method's own settings.
 LONG = dict(size=576, slide=288)
 # Wide keys: many short signals, settings scaled to their length.
@@ -54,4 +56,4 @@ def steady(x: str, digits: int = 6):
 
 
 def stamp(ts):
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return stamp_text(F.col(ts) if isinstance(ts, str) else ts)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beatline.schemas import MESSAGES, RECORD_HEADER
+from beatline.sinks.signal_table import time_chunk
 from beatline.sources import messages, metadata, signal_files
 
 
@@ -79,6 +80,21 @@ def test_replay_matches_rounded_offsets(spark):
         assert r.ts == want and r.time == want.strftime("%H:%M:%S.%f")[:-3]
 
 
+def test_clock_times_a_zone_skips(spark):
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        one = spark.range(1).withColumnRenamed("id", "idx")
+        row = messages.replay_timestamps(one, "2024-03-10 02:30:00.5").first()
+        assert row.time == "02:30:00.500"
+        back = messages.event_time(spark.createDataFrame([(row.time,)], "time string"), "2024-03-10")
+        chunked = time_chunk(back.select(F.col("ts").alias("time"))).first()
+        assert chunked.time == dt.datetime(2024, 3, 10, 2, 30, 0, 500000)
+        assert chunked.chunk == dt.datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+
+
 def test_encode_skips_incomplete(spark):
     df = spark.createDataFrame([("a", "01:02:03.004", 0.5), ("a", None, 1.0)], "signame string, time string, value double")
     assert [bytes(r.value) for r in messages.encode_message(df).collect()] == [b"a,01:02:03.004,0.5"]
