@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.operators.halo import CHUNK, only_own, with_halo
+from beatline.runtime import store
 
 # A relative threshold averages from 3 widths before to 1 width after.
 PRE = 3
@@ -46,14 +47,35 @@ def _forward_max(df: DataFrame, rows, value: str, width: int) -> DataFrame:
     return df
 
 
-def local_maxima(
-    df: DataFrame, width: int, group: list[str], pos: str = "pos", value: str = "value", chunk: int = CHUNK
-) -> DataFrame:
-    """Add ``is_max``: the row is the first maximum of its ±``width`` neighbourhood."""
+def _forward_sum(df: DataFrame, rows, value: str, width: int) -> DataFrame:
+    """Add ``__sum``, the total of the ``width`` rows from the current one.
+
+    ``width`` is spelled out in spans of 1, 4, 16, …, each the sum of shifted
+    smaller ones, so nothing is subtracted and the cost is log(width).
+    """
+    base = _STEPS + 1
+    shifted = lambda c, o: F.coalesce(F.lead(c, o).over(rows), F.lit(0.0)) if o else F.col(c)
+    df = df.withColumn("__s", F.col(value)).withColumn("__sum", F.lit(0.0))
+    span, done, left = 1, 0, width
+    while left:
+        digit, left = left % base, left // base
+        total = F.col("__sum")
+        for _ in range(digit):
+            total = total + shifted("__s", done)
+            done += span
+        wider = F.col("__s")
+        if left:
+            for i in range(1, base):
+                wider = wider + shifted("__s", i * span)
+        df = df.withColumns({"__sum": total, "__s": wider})
+        span *= base
+    return df.drop("__s")
+
+
+def _is_max(margined: DataFrame, rows, value: str, width: int) -> DataFrame:
+    """Add ``is_max`` to rows that carry margins of at least ``width``."""
     if width == 0:
-        return df.withColumn("is_max", F.lit(True))
-    rows = _rows(group, pos)
-    spread = _forward_max(with_halo(df, pos, width, width, chunk), rows, value, width)
+        return margined.withColumn("is_max", F.lit(True))
     x = F.col(value)
     after = F.lead("__m", 1).over(rows)
     # The first rows of a chunk have fewer than `width` rows behind them.
@@ -61,7 +83,30 @@ def local_maxima(
         F.lag("__m", width).over(rows), F.max(value).over(rows.rowsBetween(Window.unboundedPreceding, -1))
     )
     is_max = (before.isNull() | (before < x)) & (after.isNull() | (after <= x))
-    return only_own(spread.withColumn("is_max", is_max).drop("__m"))
+    return _forward_max(margined, rows, value, width).withColumn("is_max", is_max).drop("__m")
+
+
+def _near_mean(margined: DataFrame, rows, group: list[str], pos: str, value: str, width: int) -> DataFrame:
+    """Add ``__mean`` of the rows from PRE·width before to POST·width - 1 after."""
+    behind, ahead = PRE * width, POST * width
+    # The first rows have fewer behind them; they take a running total instead.
+    total = F.when(F.col(pos) >= behind, F.lag("__sum", behind).over(rows)).otherwise(
+        F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, ahead - 1))
+    )
+    last = F.max(pos).over(Window.partitionBy(*group, "__chunk"))
+    count = F.least(F.col(pos) + ahead, last + 1) - F.greatest(F.col(pos) - behind, F.lit(0))
+    return (
+        _forward_sum(margined, rows, value, behind + ahead).withColumn("__mean", total / count).drop("__sum")
+    )
+
+
+def local_maxima(
+    df: DataFrame, width: int, group: list[str], pos: str = "pos", value: str = "value", chunk: int = CHUNK
+) -> DataFrame:
+    """Add ``is_max``: the row is the first maximum of its ±``width`` neighbourhood."""
+    if width == 0:
+        return df.withColumn("is_max", F.lit(True))
+    return only_own(_is_max(with_halo(df, pos, width, width, chunk), _rows(group, pos), value, width))
 
 
 def over_threshold(
@@ -87,10 +132,9 @@ def over_threshold(
         return df.where(reached & (x > threshold))
     if width == 0:
         return df.where(F.lit(False))  # an empty mean passes nothing
-    rows = _rows(group, pos).rowsBetween(-PRE * width, POST * width - 1)
     margined = with_halo(df, pos, PRE * width, POST * width, chunk)
-    tested = margined.withColumn("__mean", F.avg(value).over(rows))
-    return only_own(tested).where(reached & (x > F.col("__mean") + threshold)).drop("__mean")
+    tested = only_own(_near_mean(margined, _rows(group, pos), group, pos, value, width))
+    return tested.where(reached & (x > F.col("__mean") + threshold)).drop("__mean")
 
 
 def find_peaks(
@@ -105,20 +149,23 @@ def find_peaks(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Local maxima that pass the threshold, and the decaying hold if ``decay`` > 0."""
-    hold = None
+    columns = df.columns
+    x = F.col(value)
+    reached: Column = F.lit(True)
     if decay > 0:
         df = exp_decay_hold(df, decay, group, pos, value)
-        hold = "av"
-    if relative:
-        # The mean needs every row, so it is taken before rows are dropped.
-        flagged = local_maxima(df, width, group, pos, value, chunk)
-        peaks = over_threshold(flagged, width, threshold, group, pos, value, True, hold, chunk).where("is_max")
+        reached = x >= F.col("av")
+    if not relative:
+        found = local_maxima(df, width, group, pos, value, chunk).where(F.col("is_max") & reached & (x > threshold))
+    elif width == 0:
+        found = df.where(F.lit(False))  # an empty mean passes nothing
     else:
-        peaks = over_threshold(
-            local_maxima(df, width, group, pos, value, chunk).where("is_max"),
-            width, threshold, group, pos, value, False, hold, chunk,
-        )
-    return peaks.drop("is_max", "av")
+        # Both tests share one set of margins, and so one shuffle.
+        rows = _rows(group, pos)
+        margined = with_halo(df, pos, PRE * width, POST * width, chunk)
+        tested = only_own(_near_mean(_is_max(margined, rows, value, width), rows, group, pos, value, width))
+        found = tested.where(F.col("is_max") & reached & (x > F.col("__mean") + threshold))
+    return found.select(*columns)
 
 
 def top_n_peaks(
@@ -185,31 +232,32 @@ def exp_decay_hold(
         return df.withColumn("av", F.col(value))
     d, e = F.lit(float(decay)), F.lit(1 - float(decay))
     columns = [c for c in df.columns if c not in group]
+    chunk = F.floor(F.col(pos) / fold).alias("__c")
     # One chunk's rows are folded together; a chunk holds at most `fold` of them.
-    chunks = df.groupBy(*group, F.floor(F.col(pos) / fold).alias("__c")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("__pos"), *columns))).alias("__s")
-    )
+    rows = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), *columns).alias("__r"))
     longest = df.agg(F.max(pos)).first()[0] or 0
     if longest < fold:
-        chunks = chunks.withColumn("__a", F.col("__s")[0][value])
+        chunks = _packed(rows, group).withColumn("__a", F.col("__s")[0][value])
     else:
-        step = lambda acc, s: _effect(*_then(acc, s[value], d, e * s[value]))
+        step = lambda acc, s: _effect(*_then(acc, s["x"], d, e * s["x"]))
         # The first chunk starts from its own first value, whatever came before.
-        seed = _effect(F.lit(_LOWEST), F.lit(0.0), F.col("__s")[0][value])
+        seed = _effect(F.lit(_LOWEST), F.lit(0.0), F.col("__s")[0]["x"])
         start = F.when(F.col("__c") == 0, seed).otherwise(_identity())
-        effects = chunks.select(*group, F.col("__c").alias("__i"), F.aggregate("__s", start, step).alias("__e"))
-        carried = _effects_before(effects, group, longest // fold, fold).select(
-            *[F.col(g).alias(f"__g_{g}") for g in group],
-            F.col("__i").alias("__ci"),
+        narrow = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), F.col(value).alias("x")).alias("__r"))
+        effects = _packed(narrow, group).select(
+            *group, F.col("__c").alias("__i"), F.aggregate("__s", start, step).alias("__e")
+        )
+        # Every level above reads these few rows again, so they are written once.
+        carried = _effects_before(store(effects, "effects"), group, longest // fold, fold).select(
+            *group,
+            F.col("__i").alias("__c"),
             # Chunk 0 is included, so what is carried no longer depends on a level.
             F.greatest(F.col("__e.m"), F.col("__e.q")).alias("__carry"),
         )
-        on = F.col("__c") == F.col("__ci")
-        for g in group:
-            on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-        chunks = chunks.join(carried, on, "left").withColumn(
-            "__a", F.when(F.col("__c") == 0, F.col("__s")[0][value]).otherwise(F.col("__carry"))
-        )
+        # The carried levels ride along in the grouping of the rows: no join.
+        both = rows.unionByName(carried, allowMissingColumns=True)
+        first = F.when(F.col("__c") == 0, F.col("__s")[0][value]).otherwise(F.col("__carry"))
+        chunks = _packed(both, group, F.max("__carry").alias("__carry")).withColumn("__a", first)
 
     def level(acc: Column, s: Column) -> Column:
         now = F.greatest(s[value], d * acc["a"] + e * s[value])
@@ -224,6 +272,11 @@ def exp_decay_hold(
     )
 
 
+def _packed(rows: DataFrame, group: list[str], *more: Column) -> DataFrame:
+    """A chunk's rows ``__r`` as one array ``__s`` in order; null rows are left out."""
+    return rows.groupBy(*group, "__c").agg(F.sort_array(F.collect_list("__r")).alias("__s"), *more)
+
+
 def _effects_before(effects: DataFrame, group: list[str], last: int, fold: int) -> DataFrame:
     """Combine, for every ``__i`` of a group, the effects of all smaller ones.
 
