@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 CHANNEL = "MLII"
 
+# Fixed pattern: what ends a piece of a header comment. A bare * does so too.
+MARKS = r"<|>:|\*"
+
 # Fixed list: the header fields that are kept.
 FIELDS = ("fs", "n_sig", "sig_len", "units", "sig_name")
 
 
 def _header_entries(comment: Column) -> Column:
     """[(key, value), …] of "<key>: value …" in order, duplicates included."""
-    parts = F.split(F.replace(F.replace(comment, F.lit("<"), F.lit("*")), F.lit(">:"), F.lit("*")), r"\*", -1)
-    # Keys sit at 1, 3, 5, … and need a following part.
+    parts = F.split(comment, MARKS, -1)
+    # Text before the first mark is no key; then keys and values alternate.
     last = F.size(parts) - 2
     pairs = F.transform(
         F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(2)),

@@ -21,7 +21,11 @@ from beatline.operators.indexing import dense_index
 from beatline.operators.windows import SIZE, SLIDE, count_window_arrays
 from beatline.runtime import TASK_ROWS, group_load
 
-STATE = "n bigint, times array<timestamp_ntz>, ecg array<double>"
+# Times are kept as microseconds, which are cheaper to store than datetimes.
+STATE = "n bigint, times array<bigint>, ecg array<double>"
+
+# Firings handed back to Spark at a time.
+FRAME = 256
 
 
 def stateful_windows(samples: DataFrame, size: int = SIZE, slide: int = SLIDE, key: str = "signame") -> DataFrame:
@@ -32,6 +36,8 @@ def stateful_windows(samples: DataFrame, size: int = SIZE, slide: int = SLIDE, k
     micro-batches, in order of arrival.
     """
 
+    per_frame = FRAME
+
     # Nested, so that executors need not have this package installed.
     def fire(group, batches, state):
         import numpy as np
@@ -39,21 +45,20 @@ def stateful_windows(samples: DataFrame, size: int = SIZE, slide: int = SLIDE, k
 
         if state.exists:
             n, times, ecg = state.get
-            times, ecg = np.array(times, dtype="datetime64[us]"), np.array(ecg, dtype="float64")
         else:
-            n, times, ecg = 0, np.empty(0, "datetime64[us]"), np.empty(0, "float64")
-        parts = list(batches)
-        arrived = pd.concat(parts).sort_values(["ts", "tie"], kind="stable")
-        times = np.concatenate([times, arrived["ts"].to_numpy("datetime64[us]")])
-        ecg = np.concatenate([ecg, arrived["value"].to_numpy("float64")])
-        first = n + len(arrived) - len(ecg)  # index of the oldest sample held
-        for k in range(n // slide + 1, (n + len(arrived)) // slide + 1):
-            low, high = max(0, k * slide - size) - first, k * slide - first
+            n, times, ecg = 0, [], []
+        arrived = pd.concat(list(batches)).sort_values(["ts", "tie"], kind="stable")
+        times = np.concatenate([np.array(times, "datetime64[us]"), arrived["ts"].to_numpy("datetime64[us]")])
+        ecg = np.concatenate([np.array(ecg, "float64"), arrived["value"].to_numpy("float64")])
+        end = n + len(arrived)
+        first = end - len(ecg)  # index of the oldest sample held
+        due = range(n // slide + 1, end // slide + 1)
+        for some in (due[i : i + per_frame] for i in range(0, len(due), per_frame)):
+            cuts = [slice(max(0, k * slide - size) - first, k * slide - first) for k in some]
             yield pd.DataFrame(
-                {key: [group[0]], "k": [k], "times": [list(times[low:high])], "ecg": [ecg[low:high].tolist()]}
+                {key: group[0], "k": list(some), "times": [list(times[c]) for c in cuts], "ecg": [ecg[c] for c in cuts]}
             )
-        n += len(arrived)
-        state.update((n, times[-size:].astype(object).tolist(), ecg[-size:].tolist()))
+        state.update((end, times[-size:].astype("int64").tolist(), ecg[-size:].tolist()))
 
     schema = T.StructType([
         T.StructField(key, T.StringType()),
