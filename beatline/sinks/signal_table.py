@@ -15,6 +15,9 @@ NAME_LENGTH = 50
 FLAG_LENGTH = 5
 
 
+# Tasks that write one date of a micro-batch.
+DATE_TASKS = 8
+
 # Rows with waveforms that one task may sort on its own.
 TASK_BEATS = 50_000
 
@@ -67,6 +70,17 @@ def split_storable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(ok), rows.where(~ok)
 
 
+def _few_files(dated: DataFrame) -> DataFrame:
+    """Gather each date's rows, so that not every task writes to every date.
+
+    Adaptive execution splits a date that is too large for one task. Stateful
+    streams run without it and deal each date to a fixed number of tasks.
+    """
+    if dated.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return dated.hint("rebalance", "date")
+    return dated.repartition("date", F.pmod("id", F.lit(DATE_TASKS)))
+
+
 def sink_signal_samples(rows: DataFrame, path: str, batch: str | int = 0) -> None:
     """Append one batch of rows to the table at ``path``, partitioned by date.
 
@@ -74,9 +88,9 @@ def sink_signal_samples(rows: DataFrame, path: str, batch: str | int = 0) -> Non
     so a retried micro-batch does not add its rows twice.
     """
     good, _ = split_storable(rows)
+    dated = good.select(*SIGNAL_SAMPLES.fieldNames()).withColumn("date", F.to_date("time"))
     (
-        good.select(*SIGNAL_SAMPLES.fieldNames())
-        .withColumn("date", F.to_date("time"))
+        _few_files(dated)
         .write.mode("overwrite")
         .partitionBy("date")
         .parquet(f"{path.rstrip('/')}/batch={batch}")

@@ -100,17 +100,25 @@ def parse_sample_quarantine(
     return good, bad
 
 
-def event_time(samples: DataFrame, date: str, lenient: bool = False, time: str = "time") -> DataFrame:
+def event_time(
+    samples: DataFrame, date: str, lenient: bool = False, on_error: str = "fail", time: str = "time"
+) -> DataFrame:
     """Add ``ts`` from the time-of-day text on the given date.
 
     Strict: two-digit fields within their ranges and three digits of
-    milliseconds, else null. ``lenient`` lets any field overflow into the next
-    and takes the digits after the point as a count of milliseconds.
+    milliseconds. ``lenient`` lets any field overflow into the next and takes the
+    digits after the point as a count of milliseconds. Text of another form
+    fails the job, or leaves ``ts`` null with ``on_error="null"``.
     """
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error is 'fail' or 'null'")
     pattern = r"^(\d+):(\d+):(\d+)\.(\d+)" if lenient else r"^([01]\d|2[0-3]):([0-5]\d):([0-5]\d)\.(\d{3})$"
     part = [F.regexp_extract(time, pattern, i).try_cast("bigint") for i in range(1, 5)]
     millis = ((part[0] * 60 + part[1]) * 60 + part[2]) * 1000 + part[3]
     seconds = (millis / 1000).cast(T.DecimalType(18, 6))
     zero = F.lit(0)
     ts = F.lit(date).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    if on_error == "fail":
+        complaint = F.raise_error(F.concat(F.lit("bad time of day: "), F.coalesce(time, F.lit("null"))))
+        ts = F.coalesce(ts, complaint.cast("timestamp_ntz"))
     return samples.withColumn("ts", ts)

@@ -115,13 +115,15 @@ def test_event_time(spark):
     texts = ["01:02:03.004", "23:59:59.999", "24:00:00.000", "1:2:3.4", "noon"]
     df = spark.createDataFrame([(t,) for t in texts], "time string")
     day = dt.datetime(2024, 5, 6)
-    strict = [r.ts for r in messages.event_time(df, "2024-05-06").collect()]
+    strict = [r.ts for r in messages.event_time(df, "2024-05-06", on_error="null").collect()]
     assert strict == [
         day + dt.timedelta(hours=1, minutes=2, seconds=3, milliseconds=4),
         day + dt.timedelta(hours=23, minutes=59, seconds=59, milliseconds=999),
         None, None, None,
     ]
-    lenient = [r.ts for r in messages.event_time(df, "2024-05-06", lenient=True).collect()]
+    lenient = [r.ts for r in messages.event_time(df, "2024-05-06", lenient=True, on_error="null").collect()]
+    with pytest.raises(Exception, match="bad time of day"):
+        messages.event_time(df, "2024-05-06").collect()
     assert lenient[2] == day + dt.timedelta(days=1) and lenient[3] == strict[0] and lenient[4] is None
 
 
