@@ -13,6 +13,9 @@ from beatline.runtime import BROADCAST_ROWS
 #: Fixed value: a word is a run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Fixed value: the characters of Unicode's White_Space, for character classes.
+UNICODE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 #: UTF-8 bytes of text one step of a Python task works on.
 SLICE_BYTES = 4 << 20
 
@@ -31,14 +34,14 @@ def prepared(df: DataFrame, carry: bool = False, **columns: str) -> DataFrame:
     return df.select(*[c.alias(new) for new, c in own.items()])
 
 
-def attach(left: DataFrame, right: DataFrame, key: str, spread: str, rows: int) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, key: str, spread: list[str], rows: int) -> DataFrame:
     """Left join of ``right`` (one row per key, ``n`` = its rows in ``left``), no key in one task.
 
     ``right`` has ``key`` (never null), ``n`` and payload columns and should be a
     stored table. Keys over ``rows / BROADCAST_ROWS`` rows, at least 10,000, are
     hot: there are at most BROADCAST_ROWS of them, so they are broadcast. Other
     keys meet in a shuffle join, in which rows of hot keys are spread by the
-    hash of ``spread``. Left rows without a partner get nulls.
+    hash of the columns ``spread``. Left rows without a partner get nulls.
     """
     limit = max(10_000, -(-rows // BROADCAST_ROWS))
     payload = [c for c in right.columns if c != key]
@@ -49,7 +52,7 @@ def attach(left: DataFrame, right: DataFrame, key: str, spread: str, rows: int)
         F.col(key).alias("__ck"), F.lit(0).cast("long").alias("__cs"), F.struct(*payload).alias("__cold")
     )
     marked = left.join(F.broadcast(hot), F.col(key) == F.col("__hk"), "left").withColumn(
-        "__s", F.when(F.col("__hot").isNotNull(), F.xxhash64(spread) | F.lit(1)).otherwise(F.lit(0).cast("long"))
+        "__s", F.when(F.col("__hot").isNotNull(), F.xxhash64(*spread).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
     )
     joined = marked.join(cold, (F.col(key) == F.col("__ck")) & (F.col("__s") == F.col("__cs")), "left")
     found = F.coalesce("__hot", "__cold")

@@ -229,7 +229,7 @@ def _drop_by_join(own: DataFrame, frequent: DataFrame, min_chars: int) -> DataFr
     pairs = own.mapInArrow(keyed, f"id {kind}, print long, key binary").distinct()
     frequent = store(frequent.select("key", "n"), "line-frequent")
     rows = frequent.agg(F.sum("n")).first()[0] or 0
-    hits = attach(pairs, frequent, "key", "id", rows).where("n is not null")
+    hits = attach(pairs, frequent, "key", ["id", "print"], rows).where("n is not null")
     gone = hits.groupBy("id", "print").agg(F.collect_set("key").alias("gone"))
     joined = own.alias("o").join(
         gone.alias("g"), F.col("o.id").eqNullSafe(F.col("g.id")) & (F.col("o.print") == F.col("g.print")), "left"

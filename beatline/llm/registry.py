@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatline.llm.exact_dedup import exact_dedup
 from beatline.llm.line_dedup import line_dedup
 from beatline.llm.mixing import mix
+from beatline.llm.quality import quality
+from beatline.llm.sentencepiece import decode, encode
+from beatline.llm.simhash import near_duplicates
+from beatline.llm.substring_dedup import substring_dedup
+from beatline.llm.token_counts import token_counts
+from beatline.llm.token_files import token_files
+from beatline.llm.warc import through_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,16 +31,61 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality(
+        _documents(spark, sf_dir),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    return judged.withColumnRenamed("id", "doc_id")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = through_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), min_revisit_bytes=0)
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(_documents(spark, sf_dir), keep="largest")
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup(_documents(spark, sf_dir), min_docs=10, min_chars=1)
     return cut.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = token_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read.withColumnRenamed("id", "doc_id")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(_documents(spark, sf_dir), window=20)
+    return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    both = decode(encode(_documents(spark, sf_dir), path), path)
+    return both.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        "ids",
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
+    )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_documents(spark, sf_dir), shingle=4, most=4)
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -91,10 +144,52 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (f.key IS NOT NULL) AS n_dro
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY doc_id
 """
 
+OP3_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h, payload_bytes) AS first FROM hashed)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+    ('0x' || substr(h, (1 + 5 * (i // 4))::INT, 5))::INT >> (5 * (3 - i % 4))::INT) & 31)::INT, 1)), 'string_agg', '')
+    AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+OP8_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split),
+windows AS (
+  SELECT doc_id, pos, word,
+    CASE WHEN count(*) OVER ahead = 20 THEN string_agg(word, ' ') OVER ahead END AS own
+  FROM placed
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+judged AS (
+  SELECT doc_id, pos, word,
+    own IS NOT NULL AND row_number() OVER (PARTITION BY own ORDER BY doc_id, pos) > 1 AS again
+  FROM windows),
+covered AS (
+  SELECT doc_id, pos, word, bool_or(again) OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM judged)
+SELECT d.doc_id, count(word) AS n_words, count(word) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN covered c ON d.doc_id = c.doc_id GROUP BY d.doc_id
+"""
+
 
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op6_line_dedup": OP6_SQL}
+    return {
+        "op1_mixing": OP1_SQL,
+        "op3_warc": OP3_SQL,
+        "op4_exact_dedup": OP4_SQL,
+        "op6_line_dedup": OP6_SQL,
+        "op8_substring_dedup": OP8_SQL,
+    }
