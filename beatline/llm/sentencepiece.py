@@ -28,8 +28,8 @@ LONGEST = 64
 TABLE, NAMED = 150_000, 20_000
 
 # No piece joins a character other than a space to a space after it, and none
-# holds a control character (checked when a model is read): units end there.
-_UNIT = re.compile(f"{SPACE}*[^{SPACE}\\x00-\\x1f]+|{SPACE}+|[\\x00-\\x1f]")
+# holds a newline (checked when a model is read): units end there.
+_UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _NONE = (1 << 31) - 1
 
 
@@ -59,7 +59,7 @@ def model(path: str) -> Model:
     byte = {p.piece: i for i, p in enumerate(own.pieces) if p.type == kinds.BYTE}
     if own.trainer_spec.model_type not in (1, 2) or norm.name != "identity" or norm.remove_extra_whitespaces:
         raise ValueError("only unigram and BPE models that leave texts as they are")
-    if len(byte) != 256 or any(re.search(f"[^{SPACE}]{SPACE}|[\\x00-\\x1f]", p) for p in normal):
+    if len(byte) != 256 or any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in normal):
         raise ValueError("only models with byte fallback whose pieces start at spaces")
     scores = {p: own.pieces[i].score for p, i in normal.items()}
     steps = {s: k for k, s in enumerate(sorted(set(scores.values()), reverse=True))}
