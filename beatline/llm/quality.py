@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beatline.llm.common import WordCache, prepared, slices
 from beatline.llm.substring_dedup import window_hashes
@@ -139,9 +140,6 @@ def quality(
     own = prepared(docs, carry, **names)
     if not lang_col:
         own = own.withColumn("lang", F.lit(None).cast("string"))
-    kind = own.schema["id"].dataType.simpleString()
-    tail = f", row {own.schema['row'].dataType.simpleString()}" if carry else ""
-
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(piece_path, byte_path)
         _, is_byte = _pieces(piece_path)
@@ -193,7 +191,10 @@ def quality(
             )
 
     fields = ", ".join([*[f"{c} long" for c in _NAMES], *[f"{c} double" for c in _RATES]])
-    return own.mapInArrow(judged, f"id {kind}, {fields}, band string, base_failed boolean, kept boolean{tail}")
+    schema = T.StructType([own.schema["id"]])
+    for field in T.StructType.fromDDL(f"{fields}, band string, base_failed boolean, kept boolean"):
+        schema.add(field)
+    return own.mapInArrow(judged, schema.add(own.schema["row"]) if carry else schema)
 
 
 _CACHES: dict[tuple[str, str], WordCache] = {}
