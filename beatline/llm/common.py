@@ -63,26 +63,37 @@ class WordCache:
     """Values of repeated words, in two generations so that its memory stays bounded.
 
     ``encode`` maps a list of distinct words to their values, never None. A word
-    used since the last turn of generations is kept; the rest is forgotten.
+    used since the last turn of generations is kept; the rest is forgotten, and
+    words over ``longest`` characters are at once.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 400_000, known: dict | None = None):
-        self.encode, self.limit, self.known = encode, limit, known or {}
+    def __init__(
+        self,
+        encode: Callable[[list], list],
+        limit: int = 400_000,
+        known: dict | None = None,
+        longest: int = 64,
+    ):
+        self.encode, self.limit, self.known, self.longest = encode, limit, known or {}, longest
         self.young: dict = dict(self.known)
         self.old: dict = {}
 
     def values(self, words: list) -> list:
         found = list(map(self.young.get, words))
         if None in found:
-            missing = [w for w in set(words) if w not in self.young]
-            for w in missing:
-                if (v := self.old.get(w)) is not None:
+            fresh = []
+            for w in {w for w, v in zip(words, found, strict=True) if v is None}:
+                if (v := self.old.get(w)) is None:
+                    fresh.append(w)
+                else:
                     self.young[w] = v
-            missing = [w for w in missing if w not in self.young]
-            for i in range(0, len(missing), 10_000):
-                part = missing[i : i + 10_000]
+            for i in range(0, len(fresh), 10_000):
+                part = fresh[i : i + 10_000]
                 self.young.update(zip(part, self.encode(part), strict=True))
             found = list(map(self.young.get, words))
+            for w in fresh:
+                if len(w) > self.longest:
+                    del self.young[w]
             if len(self.young) > self.limit + len(self.known):
                 self.old, self.young = self.young, dict(self.known)
         return found

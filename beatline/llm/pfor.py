@@ -13,6 +13,9 @@ _BLOCK = struct.Struct("<IIBI")  # values, minimum, width, exceptions
 _HEAD = struct.Struct("<6sQ")  # magic, number of the file among its table's files
 _TAIL = struct.Struct("<QQQ6s")  # documents, blocks, bytes of the footer before this, magic
 
+# Widths whose packed bits are plain little-endian integers.
+_WHOLE = {8: np.dtype("<u1"), 16: np.dtype("<u2"), 32: np.dtype("<u4")}
+
 
 def pack(values: np.ndarray, percentile: float = 95.0) -> bytes:
     """One block: differences to the minimum at the width of a percentile, others as exceptions."""
@@ -21,8 +24,11 @@ def pack(values: np.ndarray, percentile: float = 95.0) -> bytes:
     rest = values - np.uint32(low)
     width = int(np.percentile(rest, percentile, method="higher")).bit_length() if len(values) else 0
     at = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    packed = np.packbits(bits, bitorder="little").tobytes()
+    if width in _WHOLE:
+        packed = rest.astype(_WHOLE[width]).tobytes()
+    else:
+        bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits, bitorder="little").tobytes()
     return _BLOCK.pack(len(values), low, width, len(at)) + packed + at.astype(np.uint32).tobytes() + rest[at].tobytes()
 
 
@@ -30,10 +36,13 @@ def unpack(block: bytes | memoryview) -> np.ndarray:
     n, low, width, patched = _BLOCK.unpack_from(block)
     begin = _BLOCK.size
     packed = -(-n * width // 8)
-    bits = np.unpackbits(np.frombuffer(block, np.uint8, packed, begin), count=n * width, bitorder="little")
-    wide = np.zeros((n, 32), np.uint8)
-    wide[:, :width] = bits.reshape(n, width)
-    rest = np.packbits(wide, axis=1, bitorder="little").view(np.uint32).reshape(n)
+    if width in _WHOLE:
+        rest = np.frombuffer(block, _WHOLE[width], n, begin).astype(np.uint32)
+    else:
+        bits = np.unpackbits(np.frombuffer(block, np.uint8, packed, begin), count=n * width, bitorder="little")
+        wide = np.zeros((n, 32), np.uint8)
+        wide[:, :width] = bits.reshape(n, width)
+        rest = np.packbits(wide, axis=1, bitorder="little").view(np.uint32).reshape(n)
     at = np.frombuffer(block, np.uint32, patched, begin + packed)
     rest[at] = np.frombuffer(block, np.uint32, patched, begin + packed + 4 * patched)
     return rest + np.uint32(low)

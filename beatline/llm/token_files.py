@@ -21,8 +21,8 @@ from beatline.runtime import partitions_for, scratch_path, store
 #: Documents one file is meant to hold.
 FILE_DOCS = 20_000
 
-#: Longer words are encoded each time, so the cache stays small.
-LONGEST = 64
+#: Words a worker's cache holds in each of its two generations.
+CACHED = 600_000
 
 _WORD = re.compile(f"[^{UNICODE_SPACE}]+")
 # Characters at which str.split() splits but the tokenizer does not.
@@ -35,25 +35,20 @@ def word_ids(path: str, words: list[str]) -> list[bytes]:
     return [array("I", e.ids).tobytes() for e in encoded]
 
 
-def encode_text(path: str, text: str) -> bytes:
-    """Ids of a text as little-endian 32-bit integers, word by word through the worker's cache.
+def encode_texts(path: str, texts: list[str], end: bytes = b"") -> list[bytes]:
+    """Each text's ids as little-endian 32-bit integers, word by word through the worker's cache.
 
     Right for tokenizers that drop white space and never join words across it.
     """
     cache = _CACHES.get(path)
     if cache is None:
-        cache = _CACHES[path] = WordCache(lambda w: word_ids(path, w))
-    words = _WORD.findall(text) if _ODD.search(text) else text.split()
-    if len(text) > LONGEST and words and max(map(len, words)) > LONGEST:
-        out, plain = [], []
-        for w in words:
-            if len(w) > LONGEST:
-                out += [*cache.values(plain), *word_ids(path, [w])]
-                plain = []
-            else:
-                plain.append(w)
-        return b"".join([*out, *cache.values(plain)])
-    return b"".join(cache.values(words))
+        cache = _CACHES[path] = WordCache(lambda w: word_ids(path, w), CACHED)
+    words, cuts = [], [0]
+    for text in texts:
+        words += _WORD.findall(text) if _ODD.search(text) else text.split()
+        cuts.append(len(words))
+    ids = cache.values(words)
+    return [b"".join(ids[a:b]) + end for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def write_token_files(
@@ -88,9 +83,9 @@ def write_token_files(
         for part in slices(batches):
             records = [] if begun else [writer.head]
             begun = True
-            for doc_id, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                ids = np.frombuffer(encode_text(tokenizer_path, text) + end, np.uint32)
-                records += writer.add(doc_id, ids)
+            texts = encode_texts(tokenizer_path, part.column("text").to_pylist(), end)
+            for doc_id, ids in zip(part.column("id").to_pylist(), texts, strict=True):
+                records += writer.add(doc_id, np.frombuffer(ids, np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["value"])
         if begun:
             yield pa.RecordBatch.from_arrays([pa.array(list(writer.end()), pa.binary())], ["value"])
