@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,8 @@ from beatline.schemas import SIGNAL_SAMPLES
 NAME_LENGTH = 50
 FLAG_LENGTH = 5
 
-
-# Tasks that write one date of a micro-batch.
-DATE_TASKS = 8
+# Names of the interval units of ``time_chunk`` and their seconds.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 # Rows with waveforms that one task may sort on its own.
 TASK_BEATS = 50_000
@@ -33,80 +34,150 @@ def assign_id(
     return dense_index(store(rows, "unnumbered"), [], list(order), "id", task_rows).withColumn("id", F.col("id") + 1)
 
 
-def stable_id(rows: DataFrame, columns: tuple[str, ...] = ("signame", "k", "seg")) -> DataFrame:
-    """Add a 64-bit ``id`` hashed from ``columns``; a replayed row keeps its id."""
-    return rows.withColumn("id", F.xxhash64(*columns))
+def stable_id(
+    rows: DataFrame, columns: tuple[str, ...] = ("signame", "k", "seg", "time"), writer: str = ""
+) -> DataFrame:
+    """Add a 64-bit ``id`` hashed from ``writer`` and ``columns``; a replayed row keeps its id.
+
+    Counts of windows start again with a new writer, so its name and the beat's
+    time are part of the id.
+    """
+    return rows.withColumn("id", F.xxhash64(F.lit(writer), *columns))
 
 
 def time_chunk(rows: DataFrame, interval: str = "1 minute", time: str = "time") -> DataFrame:
-    """Add ``chunk``, the start of the row's time range."""
-    return rows.withColumn("chunk", F.window(time, interval)["start"])
-
+    """Add ``chunk``, the start of the row's time range; a null time has a null chunk.
 
-def unique_signal_time(rows: DataFrame) -> DataFrame:
-    """One row per (signame, time): the one with the smallest id, as first inserted."""
-    rest = [c for c in rows.columns if c not in ("signame", "time", "id")]
+    ``interval`` is a count of seconds, minutes, hours or days. Ranges count
+    from 1970-01-01 00:00 on the row's own clock, whatever the session's zone.
+    """
+    count, unit = interval.split()
+    size = int(count) * UNIT_SECONDS[unit.rstrip("s")]
+    ts = F.col(time)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    days = F.datediff(F.to_date(ts), F.to_date(epoch)).cast("long")
+    # Whole seconds: a range begins on one, and floors do not need the fraction.
+    seconds = ((days * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60 + F.second(ts)
+    begin = F.floor(seconds / size) * size
+    day, zero = F.floor(begin / 86400).cast("int"), F.lit(0)
+    clock = F.make_dt_interval(day, zero, zero, F.pmod(begin, F.lit(86400)).cast(T.DecimalType(18, 6)))
+    return rows.withColumn("chunk", epoch + clock)
+
+
+def unique_signal_time(rows: DataFrame, order: tuple[str, ...] = ("id",)) -> DataFrame:
+    """One row per (signame, time): the first in ``order``.
+
+    Ids that count up are the order of insertion. Hashed ids are not: name the
+    columns that tell it, such as ("batch", "k", "seg").
+    """
+    rest = [c for c in rows.columns if c not in ("signame", "time", *order)]
     return (
         rows.groupBy("signame", "time")
-        .agg(F.min(F.struct("id", *rest)).alias("__first"))
+        .agg(F.min(F.struct(*order, *rest)).alias("__first"))
         .select(*[F.col(c) if c in ("signame", "time") else F.col(f"__first.{c}") for c in rows.columns])
     )
 
 
-def _storable() -> Column:
-    """The table's constraints; a row that breaks one is left out, not fatal."""
+def _refusal() -> Column:
+    """The constraint of the table that a row breaks, null for a row it accepts."""
     return (
-        F.col("signame").isNotNull()
-        & (F.length("signame") <= NAME_LENGTH)
-        & F.col("time").isNotNull()
-        & F.col("abnormal").isNotNull()
-        & (F.length("abnormal") <= FLAG_LENGTH)
+        F.when(F.col("signame").isNull(), "signame is null")
+        .when(F.length("signame") > NAME_LENGTH, f"signame is longer than {NAME_LENGTH}")
+        .when(F.col("time").isNull(), "time is null")
+        .when(F.col("abnormal").isNull(), "abnormal is null")
+        .when(F.length("abnormal") > FLAG_LENGTH, f"abnormal is longer than {FLAG_LENGTH}")
     )
 
 
 def split_storable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows the table accepts, rows it refuses)."""
-    ok = F.coalesce(_storable(), F.lit(False))
-    return rows.where(ok), rows.where(~ok)
+    """(rows the table accepts, rows it refuses with their ``reason``)."""
+    judged = rows.withColumn("reason", _refusal())
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
 
 
 def _few_files(dated: DataFrame) -> DataFrame:
     """Gather each date's rows, so that not every task writes to every date.
 
     Adaptive execution splits a date that is too large for one task. Stateful
-    streams run without it and deal each date to a fixed number of tasks.
+    streams run without it and deal each date to as many tasks as there are cores.
     """
-    if dated.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return dated.hint("rebalance", "date")
-    return dated.repartition("date", F.pmod("id", F.lit(DATE_TASKS)))
-
-
-def sink_signal_samples(rows: DataFrame, path: str, batch: str | int = 0) -> None:
-    """Append one batch of rows to the table at ``path``, partitioned by date.
-
-    A batch owns the folder ``batch=<batch>`` and replaces it when written again,
-    so a retried micro-batch does not add its rows twice.
+    spark = dated.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return dated.hint("rebalance", "refused", "date")
+    tasks = spark.sparkContext.defaultParallelism
+    return dated.repartition("refused", "date", F.pmod("id", F.lit(tasks)))
+
+
+def sink_signal_samples(rows: DataFrame, path: str, writer: str | None = None, batch: int = 0) -> str:
+    """Append rows to the table at ``path`` and return the writer's name.
+
+    A writer's batch owns the folder ``writer=<writer>/batch=<batch>`` and
+    replaces it when written again, so a retried micro-batch does not add its
+    rows twice. Without a name the call is a writer of its own and only adds.
+    Rows without an ``id`` get a hashed one. Rows that break a constraint are
+    kept apart with the reason, for ``read_refused``. Each date's rows are
+    sorted by signal and time, so readers skip what they do not ask for.
     """
-    good, _ = split_storable(rows)
-    dated = good.select(*SIGNAL_SAMPLES.fieldNames()).withColumn("date", F.to_date("time"))
+    writer = writer or uuid.uuid4().hex
+    if "id" not in rows.columns:
+        rows = stable_id(rows, writer=writer)
+    dated = rows.select(*SIGNAL_SAMPLES.fieldNames()).withColumns(
+        {"reason": _refusal(), "refused": _refusal().isNotNull(), "date": F.to_date("time")}
+    )
     (
         _few_files(dated)
+        .sortWithinPartitions("refused", "date", "signame", "time")
         .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(f"{path.rstrip('/')}/batch={batch}")
+        .partitionBy("refused", "date")
+        .parquet(f"{path.rstrip('/')}/writer={writer}/batch={batch}")
     )
+    return writer
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([
+        *SIGNAL_SAMPLES.fields,
+        T.StructField("reason", T.StringType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("refused", T.BooleanType()),
+        T.StructField("date", T.DateType()),
+    ])
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_signal_samples(spark: SparkSession, path: str) -> DataFrame:
     """The stored table, with its ``date`` partition column for pruning."""
-    columns = [*SIGNAL_SAMPLES.fields, T.StructField("date", T.DateType())]
-    stored = spark.read.schema(T.StructType([*columns, T.StructField("batch", T.StringType())])).parquet(path)
-    return stored.drop("batch")
+    return _read(spark, path).where("not refused").drop("reason", "writer", "batch", "refused")
+
+
+def read_refused(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that broke a constraint of the table, with writer, batch and reason."""
+    return _read(spark, path).where("refused").drop("refused", "date")
+
 
+def compact_signal_samples(spark: SparkSession, path: str, into: str) -> None:
+    """Copy the table's accepted rows to a new one with few, sorted files per date.
 
-def sink_jdbc(rows: DataFrame, url: str, options: dict[str, str], table: str = "signal_samples") -> None:
-    """Append rows to a database table; the driver jar and credentials come from the caller."""
-    good, _ = split_storable(rows)
+    Micro-batches leave a folder each; readers of the copy list one. The old
+    table is left as it is.
+    """
+    sink_signal_samples(read_signal_samples(spark, path), into, writer="compacted")
+
+
+def sink_jdbc(
+    rows: DataFrame, url: str, options: dict[str, str], table: str = "signal_samples", refused: str | None = None
+) -> None:
+    """Append rows to a database table; the driver jar and credentials come from the caller.
+
+    Rows the table would refuse are appended as Parquet to the folder
+    ``refused``; without one they fail the call.
+    """
+    good, bad = split_storable(rows)
+    if refused:
+        bad.write.mode("append").parquet(refused)
+    elif bad.limit(1).count():
+        raise ValueError("rows break the table's constraints; name a folder for refused rows")
     good.select("signame", "time", "ecg", "abnormal").write.format("jdbc").option("url", url).option(
         "dbtable", table
     ).options(**options).mode("append").save()

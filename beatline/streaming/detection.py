@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,36 +14,50 @@ from beatline.sinks.signal_table import sink_signal_samples, stable_id
 from beatline.streaming.windows import CarryWindows, stateful_windows
 
 
+Sink = Callable[[DataFrame, str, int], object]
+
+
 def detect_stream(
     samples: DataFrame,
-    table: str,
+    table: str | Sink,
     checkpoint: str,
     size: int = SIZE,
     slide: int = SLIDE,
-    front: str = "state",
+    front: str = "carry",
     trigger: dict | None = None,
     **kw,
 ) -> StreamingQuery:
     """Start detection on a streaming frame of (signame, ts, tie, value).
 
-    ``front='state'`` keeps window tails in the state store, ``'carry'`` in a
-    table under the checkpoint. Either way a micro-batch owns its part of the
-    table and row ids are hashed from (signame, k, seg), so a batch replayed
-    after a failure replaces its rows instead of repeating them.
+    ``front='carry'`` keeps window tails in a table under the checkpoint and
+    spreads a signal over many tasks, ``'state'`` keeps them in the state store,
+    one task per signal. ``table`` is the stored table's path, or a function
+    that takes the beats with their ids, the stream's name and the micro-batch.
+
+    The stream's name is made with its checkpoint and is part of folders and
+    ids. A batch replayed after a failure replaces its rows instead of repeating
+    them, and a stream with a new checkpoint only adds to the table.
     """
     if front not in ("state", "carry"):
         raise ValueError("front is 'state' or 'carry'")
+    spark = samples.sparkSession
+    sink = table if callable(table) else lambda rows, name, batch: sink_signal_samples(rows, table, name, batch)
+
+    def name() -> str:
+        said = spark.read.text(f"{checkpoint}/query/metadata").first()[0]
+        return json.loads(said)["id"]
 
     def store(windows: DataFrame, batch: int) -> None:
+        writer = name()
         found = detect_in_windows(windows, size, slide, **kw)
-        sink_signal_samples(stable_id(found), table, batch)
+        sink(stable_id(found, writer=writer), writer, batch)
 
     if front == "state":
         frame = stateful_windows(samples, size, slide)
         handle = store
     else:
         frame = samples
-        carry = CarryWindows(samples.sparkSession, f"{checkpoint}/tails", size, slide)
+        carry = CarryWindows(spark, f"{checkpoint}/tails", size, slide)
 
         def handle(rows: DataFrame, batch: int) -> None:
             rows = rows.persist()

@@ -163,7 +163,9 @@ FROM events WHERE event_type = 'error'""",
         "rebalance": IDENTITY,
         "key_by": IDENTITY,
         "watermark": IDENTITY,
+        "watermark_delay": IDENTITY,
         "count_window": f"WITH {_windows('event_type', 576, 288)} SELECT signame, k, pos, {stamp('ts')} AS ts, value FROM w",
+        "count_window_ranged": f"WITH {_windows('event_type', 576, 288)} SELECT signame, k, pos, {stamp('ts')} AS ts, value FROM w",
         "count_window_short": f"WITH {_windows('user_id', 5, 7)} SELECT signame, k, pos, {stamp('ts')} AS ts, value FROM w",
         "window_collect": f"WITH {_windows('event_type', 576, 288)} {COLLECTED}",
         "count_window_stream": f"WITH {_windows('event_type', 576, 288)} {COLLECTED}",
@@ -183,6 +185,7 @@ FROM events WHERE event_type = 'error'""",
         "classify_beat": chain + "SELECT signame, k, seg, abnormal FROM a",
         "detect_anomalies": chain + REPORT,
         "detect_anomalies_wide": wide + REPORT,
+        "detect_anomalies_ranged": chain + REPORT,
         "detect_anomalies_dedup": chain
         + REPORT + " QUALIFY row_number() OVER (PARTITION BY signame, abs_start, abs_end ORDER BY k) = 1",
         "anomaly_rows": chain
@@ -191,6 +194,8 @@ FROM events WHERE event_type = 'error'""",
         "detect_stream_carry": chain + STORED,
         # sinks
         "sink_signal_samples": chain + STORED,
+        "sink_append_twice": chain
+        + f"SELECT o.*, (SELECT 4 * count(*) FROM a) AS ids FROM ({STORED}) AS o, range(4)",
         "parse_array_text": """SELECT event_id, CAST(0 AS BIGINT) AS x, value AS y FROM events
 UNION ALL SELECT event_id, 1, CAST(user_id AS DOUBLE) FROM events""",
         "assign_id": wide + f", {IDS} SELECT id, signame, k, seg FROM i",

@@ -196,6 +196,18 @@ def count_window(spark, sf):
     )
 
 
+def watermark_delay(spark, sf):
+    late = windows.watermark(samples(spark, sf), delay="10 minutes")
+    return late.select("signame", stamp("ts").alias("ts"), "tie", "value")
+
+
+def count_window_ranged(spark, sf):
+    """Signals too long for one task: range partitioned positions and lanes."""
+    return windows.count_window(samples(spark, sf), **LONG, task_rows=500).select(
+        "signame", "k", "pos", stamp("ts").alias("ts"), "value"
+    )
+
+
 def count_window_short(spark, sf):
     """A slide longer than the window: some samples belong to no firing."""
     return windows.count_window(samples(spark, sf, "user_id"), size=5, slide=7).select(
@@ -278,6 +290,10 @@ def detect_anomalies_wide(spark, sf):
     return _anomaly_report(_wide_anomalies(spark, sf))
 
 
+def detect_anomalies_ranged(spark, sf):
+    return _anomaly_report(_anomalies(spark, sf, task_rows=500))
+
+
 def detect_anomalies_dedup(spark, sf):
     return _anomaly_report(_anomalies(spark, sf, dedup=True))
 
@@ -308,10 +324,24 @@ def detect_stream_carry(spark, sf):
 
 def sink_signal_samples(spark, sf):
     path = scratch_path(spark, "table")
-    signal_table.sink_signal_samples(signal_table.assign_id(_anomalies(spark, sf)), path)
+    signal_table.sink_signal_samples(_anomalies(spark, sf), path)
     return _stored(signal_table.read_signal_samples(spark, path))
 
 
+def sink_append_twice(spark, sf):
+    """Two batch writers, one of which repeats its batch, and two streams on one table."""
+    path = scratch_path(spark, "table")
+    found = _anomalies(spark, sf)
+    signal_table.sink_signal_samples(found, path)
+    for _ in range(2):
+        signal_table.sink_signal_samples(found, path, writer="second", batch=0)
+    for _ in range(2):
+        streams.anomalies_of(samples(spark, sf), "carry", table=path, **LONG)
+    return _stored(signal_table.read_signal_samples(spark, path)).withColumn(
+        "ids", F.lit(signal_table.read_signal_samples(spark, path).select("id").distinct().count())
+    )
+
+
 def parse_array_text(spark, sf):
     text = F.concat(F.lit("["), F.col("value").cast("string"), F.lit(", "), F.col("user_id").cast("string"), F.lit("]"))
     return events(spark, sf).select("event_id", F.posexplode(arrays.parse_array_text(text)).alias("x", "y")).withColumn(

@@ -23,8 +23,12 @@ def in_slices(samples: DataFrame, run: Callable[[DataFrame], object]) -> None:
     spark = samples.sparkSession
     folder = scratch_path(spark, "arrivals")
     first, last = samples.agg(F.min("ts"), F.max("ts")).first()
-    middle = F.lit(first + (last - first) / 2)
-    for part in (samples.where(F.col("ts") < middle), samples.where(F.col("ts") >= middle)):
+    if first is None:
+        parts = [samples]
+    else:
+        middle = F.lit(first + (last - first) / 2)
+        parts = [samples.where(F.col("ts") < middle), samples.where(F.col("ts") >= middle)]
+    for part in parts:
         part.write.mode("append").parquet(folder)
         run(source_stream(spark, "parquet", folder, SAMPLES)).awaitTermination()
 
@@ -36,8 +40,8 @@ def windows_of(samples: DataFrame, size: int, slide: int) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def anomalies_of(samples: DataFrame, front: str, **kw) -> DataFrame:
+def anomalies_of(samples: DataFrame, front: str, table: str | None = None, **kw) -> DataFrame:
     spark = samples.sparkSession
-    table, check = scratch_path(spark, "table"), scratch_path(spark, "check")
+    table, check = table or scratch_path(spark, "table"), scratch_path(spark, "check")
     in_slices(samples, lambda stream: detect_stream(stream, table, check, front=front, **kw))
     return read_signal_samples(spark, table)

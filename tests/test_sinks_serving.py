@@ -33,8 +33,11 @@ def test_ids(spark, task_rows):
     )
     out = signal_table.assign_id(df, task_rows=task_rows).collect()
     assert [r.id for r in sorted(out, key=lambda r: (r.signame, r.k))] == list(range(1, 61))
-    hashed = [signal_table.stable_id(d).select("id").collect() for d in (df, df.orderBy(F.rand(1)))]
+    timed = df.withColumn("time", F.lit(DAY))
+    hashed = [signal_table.stable_id(d).select("id").collect() for d in (timed, timed.orderBy(F.rand(1)))]
     assert sorted(hashed[0]) == sorted(hashed[1]) and len(set(hashed[0])) == 60
+    other = signal_table.stable_id(timed, writer="other").select("id").collect()
+    assert not set(other) & set(hashed[0])
 
 
 def test_chunk_and_unique(spark):
@@ -45,17 +48,49 @@ def test_chunk_and_unique(spark):
     assert kept.columns == df.columns and sorted(r.id for r in kept.collect()) == [1, 2]
 
 
+def test_chunks_keep_null_times(spark):
+    times = [None, dt.datetime(1969, 12, 31, 23, 59, 59, 5), dt.datetime(2024, 3, 10, 2, 30, 59, 999_999)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id long, time timestamp_ntz")
+    for interval, want in (
+        ("1 minute", [None, dt.datetime(1969, 12, 31, 23, 59), dt.datetime(2024, 3, 10, 2, 30)]),
+        ("6 hours", [None, dt.datetime(1969, 12, 31, 18), dt.datetime(2024, 3, 10)]),
+        ("45 seconds", [None, dt.datetime(1969, 12, 31, 23, 59, 15), dt.datetime(2024, 3, 10, 2, 30, 45)]),
+    ):
+        got = signal_table.time_chunk(df, interval).orderBy("id").collect()
+        assert [r.chunk for r in got] == want, interval
+
+
+def test_writers_only_add(spark, tmp_path):
+    path = str(tmp_path / "table")
+    beats = spark.createDataFrame(rows((1, "a", 0, "TRUE"), (2, "a", 120, "TRUE")), SIGNAL_SAMPLES)
+    found = beats.withColumns({"k": F.col("id"), "seg": F.lit(1)}).drop("id")
+    names = [signal_table.sink_signal_samples(found, path) for _ in range(2)]
+    assert names[0] != names[1]
+    back = signal_table.read_signal_samples(spark, path)
+    assert back.count() == 4 and back.select("id").distinct().count() == 4
+    signal_table.sink_signal_samples(found, path, names[0])
+    assert signal_table.read_signal_samples(spark, path).count() == 4
+    compact = str(tmp_path / "compact")
+    signal_table.compact_signal_samples(spark, path, compact)
+    read = lambda p: sorted(map(repr, signal_table.read_signal_samples(spark, p).collect()))
+    assert read(compact) == read(path)
+
+
 def test_sink_is_idempotent_and_filters(spark, tmp_path):
     path = str(tmp_path / "table")
     good = spark.createDataFrame(rows((1, "a", 0, "TRUE"), (2, "a", 120, "TRUE"), (3, "n" * 51, 0, "TRUE")), SIGNAL_SAMPLES)
-    signal_table.sink_signal_samples(good, path, 0)
-    signal_table.sink_signal_samples(good, path, 0)
-    signal_table.sink_signal_samples(good.where("id = 2").withColumn("id", F.lit(9).cast("long")), path, 1)
+    signal_table.sink_signal_samples(good, path, "w", 0)
+    signal_table.sink_signal_samples(good, path, "w", 0)
+    signal_table.sink_signal_samples(good.where("id = 2").withColumn("id", F.lit(9).cast("long")), path, "w", 1)
     back = signal_table.read_signal_samples(spark, path)
     assert sorted(r.id for r in back.collect()) == [1, 2, 9]
     assert sorted({str(r.date) for r in back.collect()}) == ["2024-01-01", "2024-01-02"]
     refused = signal_table.split_storable(good)[1]
     assert [r.id for r in refused.collect()] == [3]
+    kept = signal_table.read_refused(spark, path).collect()
+    assert [(r.id, r.writer, r.batch, r.reason) for r in kept] == [(3, "w", 0, "signame is longer than 50")]
+    with pytest.raises(ValueError, match="constraints"):
+        signal_table.sink_jdbc(good, "jdbc:none", {})
 
 
 def test_recent_prunes_by_date(spark, tmp_path):
