@@ -82,12 +82,19 @@ def _sample(messages: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame
 def parse_sample(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Message bytes to (signame, time, value); fields after the third are ignored.
 
-    Fails the job on a message with fewer fields or without a number. ``keep``
-    names further columns to carry along, such as a topic's ``offset``.
+    Fails the job on a message with fewer fields or without a number, whichever
+    columns are asked for. ``keep`` names further columns to carry along, such
+    as a topic's ``offset``.
     """
     parsed = _sample(messages, value, keep)
-    complaint = F.raise_error(F.concat(F.lit("bad sample message: "), F.coalesce(F.col("message").cast("string"), F.lit("null"))))
-    return parsed.select("signame", "time", F.coalesce("value", complaint.cast("double")).alias("value"), *keep)
+    good = _or_fail(F.col("value").isNotNull(), "bad sample message: ", F.col("message").cast("string"))
+    return parsed.where(good).select("signame", "time", "value", *keep)
+
+
+def _or_fail(good: Column, complaint: str, text: Column) -> Column:
+    """A filter that lets good rows through and fails on others; pruning columns does not remove it."""
+    failure = F.raise_error(F.concat(F.lit(complaint), F.coalesce(text, F.lit("null"))))
+    return F.when(good, F.lit(True)).otherwise(failure.cast("boolean"))
 
 
 def parse_sample_quarantine(
@@ -101,24 +108,34 @@ def parse_sample_quarantine(
 
 
 def event_time(
-    samples: DataFrame, date: str, lenient: bool = False, on_error: str = "fail", time: str = "time"
+    samples: DataFrame, date: str | Column, lenient: bool = False, on_error: str = "fail", time: str = "time"
 ) -> DataFrame:
     """Add ``ts`` from the time-of-day text on the given date.
 
-    Strict: two-digit fields within their ranges and three digits of
-    milliseconds. ``lenient`` lets any field overflow into the next and takes the
-    digits after the point as a count of milliseconds. Text of another form
-    fails the job, or leaves ``ts`` null with ``on_error="null"``.
+    ``date`` is a constant, or a column: the current date of a live job, or the
+    date of each message. Strict: two-digit fields within their ranges and three
+    digits of milliseconds. ``lenient`` lets any field overflow into the next
+    and takes the digits after the point as a count of milliseconds. Text of
+    another form fails the job, whichever columns are asked for, or leaves
+    ``ts`` null with ``on_error="null"``.
     """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is 'fail' or 'null'")
-    pattern = r"^(\d+):(\d+):(\d+)\.(\d+)" if lenient else r"^([01]\d|2[0-3]):([0-5]\d):([0-5]\d)\.(\d{3})$"
-    part = [F.regexp_extract(time, pattern, i).try_cast("bigint") for i in range(1, 5)]
+    text = F.col(time)
+    if lenient:
+        good = text.rlike(r"^\d+:\d+:\d+\.\d+")
+        fields = F.split(text, r"[:.]|(?<=\d)(?=[^\d:.])")
+        part = [F.get(fields, F.lit(i)).try_cast("bigint") for i in range(4)]
+    else:
+        good = text.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d\.\d{3}$")
+        part = [F.substr(text, F.lit(a), F.lit(n)).try_cast("bigint") for a, n in ((1, 2), (4, 2), (7, 2), (10, 3))]
     millis = ((part[0] * 60 + part[1]) * 60 + part[2]) * 1000 + part[3]
     seconds = (millis / 1000).cast(T.DecimalType(18, 6))
     zero = F.lit(0)
-    ts = F.lit(date).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    day = F.lit(date) if isinstance(date, str) else date
+    ts = day.cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
     if on_error == "fail":
-        complaint = F.raise_error(F.concat(F.lit("bad time of day: "), F.coalesce(time, F.lit("null"))))
-        ts = F.coalesce(ts, complaint.cast("timestamp_ntz"))
-    return samples.withColumn("ts", ts)
+        # A number too long to be one fails as well.
+        samples = samples.where(_or_fail(good & millis.isNotNull(), "bad time of day: ", text))
+        return samples.withColumn("ts", ts)
+    return samples.withColumn("ts", F.when(good, ts))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from beatline.operators.indexing import dense_index
-from beatline.runtime import TASK_ROWS
+from beatline.runtime import BROADCAST_ROWS, store
 
 # Fixed name forms: the file "<record>_signals.txt", or "part-*" files in the
 # folder "record=<record>".
@@ -26,39 +25,52 @@ def _record_name(path: Column) -> Column:
     return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
-def _numbered_lines(spark: SparkSession, path: str, task_rows: int) -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines as (record, idx, text), ``idx`` counting a record's lines from 0.
 
-    Files are read in splits, so a long recording is many tasks. Lines order by
-    file name, place of the split and row within it. Lines that are not UTF-8
-    are skipped and not counted.
+    Files are read in splits, so a long recording is many tasks, and a split's
+    lines are in order already. They are counted per split; the counts before a
+    split, over the record's files by name, shift the line's place within it.
+    Only the small table of splits is shuffled. Lines that are not UTF-8 are
+    skipped and not counted.
     """
     lines = (
         spark.read.text(path)
         .where(F.is_valid_utf8("value"))
         .select(
-            _record_name(F.col("_metadata.file_path")).alias("record"),
             F.col("_metadata.file_path").alias("__file"),
             F.col("_metadata.file_block_start").alias("__at"),
             F.col("value").alias("text"),
         )
-        # Increases line by line within a split, which is all it is used for.
+        # Increases line by line within a split; both readings cut files alike.
         .withColumn("__seq", F.monotonically_increasing_id())
     )
+    splits = lines.groupBy("__file", "__at").agg(F.count("*").alias("__n"), F.min("__seq").alias("__first"))
     # Part numbers of five digits sort by name, longer ones by length first.
-    lines = lines.withColumn("__len", F.length("__file"))
-    indexed = dense_index(lines, ["record"], ["__len", "__file", "__at", "__seq"], "idx", task_rows)
-    return indexed.select("record", "idx", "text")
+    before = Window.partitionBy("record").orderBy(F.length("__file"), "__file", "__at").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    shifts = store(
+        splits.withColumn("record", _record_name(F.col("__file"))).select(
+            F.col("__file").alias("__f"),
+            F.col("__at").alias("__a"),
+            "record",
+            (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+        ),
+        "splits",
+    )
+    if shifts.count() <= BROADCAST_ROWS:
+        shifts = F.broadcast(shifts)
+    numbered = lines.join(shifts, (F.col("__file") == F.col("__f")) & (F.col("__at") == F.col("__a")))
+    return numbered.select("record", (F.col("__seq") + F.col("__shift")).alias("idx"), "text")
 
 
-def scan_signal_files(
-    spark: SparkSession, path: str, keep_text: bool = False, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def scan_signal_files(spark: SparkSession, path: str, keep_text: bool = False) -> DataFrame:
     """Signal files to (record, idx, value); a line that is no number has a null value.
 
     ``keep_text`` adds the line itself as ``text``.
     """
-    return _numbered_lines(spark, path, task_rows).select(
+    return _numbered_lines(spark, path).select(
         "record",
         "idx",
         F.trim("text").try_cast("double").alias("value"),
@@ -68,7 +80,7 @@ def scan_signal_files(
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A list of record names, one per line, as (record, line)."""
-    return _numbered_lines(spark, path, TASK_ROWS).select(F.trim("text").alias("record"), F.col("idx").alias("line"))
+    return _numbered_lines(spark, path).select(F.trim("text").alias("record"), F.col("idx").alias("line"))
 
 
 def write_signal_files(samples: DataFrame, path: str, record: str = "record", idx: str = "idx", value: str = "value") -> None:

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,14 +30,13 @@ def test_undecodable_line_is_not_counted(spark, tmp_path):
     assert [(r.idx, r.value) for r in rows] == [(0, 1.0), (1, 2.0)]
 
 
-@pytest.mark.parametrize("task_rows", [10**6, 4000])
-def test_one_file_read_in_many_splits(spark, tmp_path, task_rows):
+def test_one_file_read_in_many_splits(spark, tmp_path):
     (tmp_path / "1_signals.txt").write_text("".join(f"{i}.0\n" for i in range(30_000)))
     (tmp_path / "2_signals.txt").write_text("5.0\n6.0\n")
     was = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        df = signal_files.scan_signal_files(spark, str(tmp_path), task_rows=task_rows)
+        df = signal_files.scan_signal_files(spark, str(tmp_path))
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
         assert df.count() == 30_002
         assert df.where("record = '1' and value != idx").count() == 0
@@ -45,6 +45,13 @@ def test_one_file_read_in_many_splits(spark, tmp_path, task_rows):
         spark.conf.set("spark.sql.files.maxPartitionBytes", was)
 
 
+def test_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "1_signals.txt").write_text("1.0\n2.0\n")
+    plan = signal_files.scan_signal_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not re.search(r"(?<!Broadcast)Exchange|Sort", plan)
+
+
 def test_written_signals_read_back_in_order(spark, tmp_path):
     df = spark.range(5000).select(
         F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("record"), (F.col("id") * 7 % 5003).alias("idx")
@@ -106,6 +113,9 @@ def test_parse(spark):
     mixed = wire(spark, "100,01:02:03.004", "a,b,c", "a,b,NaN", None, "a,b,2")
     with pytest.raises(Exception, match="bad sample message"):
         messages.parse_sample(mixed).collect()
+    for df in (messages.parse_sample(mixed), messages.parse_sample(mixed).select("signame")):
+        with pytest.raises(Exception, match="bad sample message"):
+            df.count()
     kept, refused = messages.parse_sample_quarantine(mixed)
     assert [tuple(r) for r in kept.collect()] == [("a", "b", 2.0)]
     assert refused.count() == 4
@@ -124,9 +134,22 @@ def test_event_time(spark):
     lenient = [r.ts for r in messages.event_time(df, "2024-05-06", lenient=True, on_error="null").collect()]
     with pytest.raises(Exception, match="bad time of day"):
         messages.event_time(df, "2024-05-06").collect()
+    with pytest.raises(Exception, match="bad time of day"):
+        messages.event_time(df, "2024-05-06").count()
+    with pytest.raises(Exception, match="bad time of day"):
+        messages.event_time(df, "2024-05-06", lenient=True).count()
     assert lenient[2] == day + dt.timedelta(days=1) and lenient[3] == strict[0] and lenient[4] is None
 
 
+def test_event_time_over_midnight(spark):
+    rows = [("23:59:59.999", dt.date(2024, 5, 6)), ("00:00:00.001", dt.date(2024, 5, 7))]
+    df = spark.createDataFrame(rows, "time string, day date")
+    stamped = messages.event_time(df, F.col("day")).orderBy("ts")
+    assert [(r.time, r.ts.day) for r in stamped.collect()] == [("23:59:59.999", 6), ("00:00:00.001", 7)]
+    today = messages.event_time(df, F.current_date()).first()
+    assert (today.ts.hour, today.ts.microsecond) == (23, 999_000)
+
+
 def comments(spark, text):
     df = spark.createDataFrame([(text,)], "c string")
     return df.select(metadata.parse_header_comments(F.col("c"))).first()[0]
