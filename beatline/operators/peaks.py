@@ -16,8 +16,13 @@ from beatline.runtime import store
 PRE = 3
 POST = 1
 
-# Samples folded by one array pass of the decay recurrence.
-FOLD = 256
+# Samples folded by one array pass of the decay recurrence. A pass copies the
+# levels it has so far with every sample, so it is kept short.
+FOLD = 64
+
+# Levels of chunks of chunks. The top level of a group of n samples holds
+# n / FOLD^(LEVELS + 1) effects in one array.
+LEVELS = 2
 
 # Offsets one widening step may combine; a step widens the span by one more.
 _STEPS = 3
@@ -224,7 +229,8 @@ def exp_decay_hold(
 ) -> DataFrame:
     """Add ``av``, a level that jumps up to the value and otherwise decays towards it.
 
-    av starts from the group's first value; av = max(x, d·av + (1-d)·x).
+    av starts from the group's first value; av = max(x, d·av + (1-d)·x). The
+    same arithmetic is used whatever the size of a group or of the table.
     """
     if not 0 <= decay <= 1:
         raise ValueError("decay lies between 0 and 1")
@@ -235,29 +241,25 @@ def exp_decay_hold(
     chunk = F.floor(F.col(pos) / fold).alias("__c")
     # One chunk's rows are folded together; a chunk holds at most `fold` of them.
     rows = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), *columns).alias("__r"))
-    longest = df.agg(F.max(pos)).first()[0] or 0
-    if longest < fold:
-        chunks = _packed(rows, group).withColumn("__a", F.col("__s")[0][value])
-    else:
-        step = lambda acc, s: _effect(*_then(acc, s["x"], d, e * s["x"]))
-        # The first chunk starts from its own first value, whatever came before.
-        seed = _effect(F.lit(_LOWEST), F.lit(0.0), F.col("__s")[0]["x"])
-        start = F.when(F.col("__c") == 0, seed).otherwise(_identity())
-        narrow = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), F.col(value).alias("x")).alias("__r"))
-        effects = _packed(narrow, group).select(
-            *group, F.col("__c").alias("__i"), F.aggregate("__s", start, step).alias("__e")
-        )
-        # Every level above reads these few rows again, so they are written once.
-        carried = _effects_before(store(effects, "effects"), group, longest // fold, fold).select(
-            *group,
-            F.col("__i").alias("__c"),
-            # Chunk 0 is included, so what is carried no longer depends on a level.
-            F.greatest(F.col("__e.m"), F.col("__e.q")).alias("__carry"),
-        )
-        # The carried levels ride along in the grouping of the rows: no join.
-        both = rows.unionByName(carried, allowMissingColumns=True)
-        first = F.when(F.col("__c") == 0, F.col("__s")[0][value]).otherwise(F.col("__carry"))
-        chunks = _packed(both, group, F.max("__carry").alias("__carry")).withColumn("__a", first)
+    step = lambda acc, s: _effect(*_then(acc, s["x"], d, e * s["x"]))
+    # The first chunk starts from its own first value, whatever came before.
+    seed = _effect(F.lit(_LOWEST), F.lit(0.0), F.col("__s")[0]["x"])
+    start = F.when(F.col("__c") == 0, seed).otherwise(_identity())
+    narrow = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), F.col(value).alias("x")).alias("__r"))
+    effects = _packed(narrow, group).select(
+        *group, F.col("__c").alias("__i"), F.aggregate("__s", start, step).alias("__e")
+    )
+    # Every level above reads these few rows again, so they are written once.
+    carried = _effects_before(store(effects, "effects"), group, LEVELS, fold).select(
+        *group,
+        F.col("__i").alias("__c"),
+        # Chunk 0 is included, so what is carried no longer depends on a level.
+        F.greatest(F.col("__e.m"), F.col("__e.q")).alias("__carry"),
+    )
+    # The carried levels ride along in the grouping of the rows: no join.
+    both = rows.unionByName(carried, allowMissingColumns=True)
+    first = F.when(F.col("__c") == 0, F.col("__s")[0][value]).otherwise(F.col("__carry"))
+    chunks = _packed(both, group, F.max("__carry").alias("__carry")).withColumn("__a", first)
 
     def level(acc: Column, s: Column) -> Column:
         now = F.greatest(s[value], d * acc["a"] + e * s[value])
@@ -277,13 +279,14 @@ def _packed(rows: DataFrame, group: list[str], *more: Column) -> DataFrame:
     return rows.groupBy(*group, "__c").agg(F.sort_array(F.collect_list("__r")).alias("__s"), *more)
 
 
-def _effects_before(effects: DataFrame, group: list[str], last: int, fold: int) -> DataFrame:
+def _effects_before(effects: DataFrame, group: list[str], levels: int, fold: int) -> DataFrame:
     """Combine, for every ``__i`` of a group, the effects of all smaller ones.
 
-    Up to ``fold`` effects are combined in one array; more go through a coarser
-    level first, so the depth grows with the logarithm of the group.
+    ``fold`` effects are combined in one array, after what comes before the
+    array by a coarser level; the top level has one array per group.
     """
-    packed = effects.groupBy(*group, F.floor(F.col("__i") / fold).alias("__up")).agg(
+    up = F.floor(F.col("__i") / fold) if levels else F.lit(0).cast("long")
+    packed = effects.groupBy(*group, up.alias("__up")).agg(
         F.sort_array(F.collect_list(F.struct("__i", "__e"))).alias("__s")
     )
 
@@ -296,12 +299,12 @@ def _effects_before(effects: DataFrame, group: list[str], last: int, fold: int)
         out = F.array().cast("array<struct<__i:bigint,__e:struct<m:double,p:double,q:double>>>")
         return F.aggregate("__s", F.struct(start.alias("a"), out.alias("out")), step)
 
-    if last < fold:
+    if not levels:
         return packed.select(*group, F.explode(running(_identity())["out"]).alias("__o")).select(
             *group, "__o.__i", "__o.__e"
         )
     totals = packed.select(*group, F.col("__up").alias("__i"), running(_identity())["a"].alias("__e"))
-    above = _effects_before(totals, group, last // fold, fold).select(
+    above = _effects_before(totals, group, levels - 1, fold).select(
         *[F.col(g).alias(f"__g_{g}") for g in group], F.col("__i").alias("__ui"), F.col("__e").alias("__from")
     )
     on = F.col("__up") == F.col("__ui")

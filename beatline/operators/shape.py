@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from beatline.operators.halo import CHUNK, join_per_group, only_own, with_halo
 
+# Shifted spans that one widening step adds up.
+SPREAD = 4
+
 
 def normalise(
     df: DataFrame, group: list[str], pos: str = "pos", value: str = "value", chunk: int = CHUNK
@@ -47,10 +50,13 @@ def rolling_slope(
         return df.withColumn("slope", F.lit(float("nan")))
     behind, ahead = n // 2, n - n // 2 - 1
     rows = Window.partitionBy(*group, "__chunk").orderBy(pos)
-    frame = rows.rowsBetween(-behind, ahead)
     # A repeated slope lies up to n rows away and itself sees up to n rows.
-    margined = with_halo(df, pos, 2 * n, 2 * n, chunk)
-    full = F.when(F.count(value).over(frame) == n, F.regr_slope(F.col(value), F.col(pos) * hop).over(frame))
+    margined = _forward_moments(with_halo(df, pos, 2 * n, 2 * n, chunk), rows, value, n)
+    middle = (n - 1) / 2
+    spread = n * (n * n - 1) / 12 * hop  # summed squared distances to the middle, in rows, times one hop
+    ahead_slope = F.when(F.col("__n") == n, (F.col("__xy") - middle * F.col("__y")) / spread)
+    margined = margined.withColumn("__ahead", ahead_slope).drop("__n", "__y", "__xy")
+    full = F.lag("__ahead", behind).over(rows)
     return only_own(
         margined.withColumn("__full", full)
         .withColumn(
@@ -61,8 +67,43 @@ def rolling_slope(
                 F.last("__full", ignorenulls=True).over(rows.rowsBetween(-ahead, 0)),
             ),
         )
-        .drop("__full")
+        .drop("__full", "__ahead")
+    )
+
+
+def _forward_moments(df: DataFrame, rows, value: str, width: int) -> DataFrame:
+    """Add ``__n``, ``__y`` and ``__xy`` of the ``width`` rows from the current one.
+
+    They are the number of values, their sum, and the sum of value times distance
+    in rows. ``width`` is spelled out in spans of 1, 4, 16, …, each the sum of
+    shifted smaller ones, so the cost is log(width) and nothing is subtracted.
+    """
+    x = F.col(value)
+    df = df.withColumns(
+        {
+            **{"__sn": F.when(x.isNull(), 0).otherwise(1), "__sy": F.coalesce(x, F.lit(0.0)), "__sxy": F.lit(0.0)},
+            **{"__n": F.lit(0), "__y": F.lit(0.0), "__xy": F.lit(0.0)},
+        }
     )
+    at = lambda c, o: F.coalesce(F.lead(c, o).over(rows), F.lit(0)) if o else F.col(c)
+    span, done, left = 1, 0, width
+    while left:
+        digit, left = left % SPREAD, left // SPREAD
+        n, y, xy = F.col("__n"), F.col("__y"), F.col("__xy")
+        for _ in range(digit):
+            n, y, xy = n + at("__sn", done), y + at("__sy", done), xy + at("__sxy", done) + done * at("__sy", done)
+            done += span
+        wider = {"__n": n, "__y": y, "__xy": xy}
+        if left:
+            steps = [i * span for i in range(SPREAD)]
+            wider |= {
+                "__sn": sum((at("__sn", o) for o in steps[1:]), F.col("__sn")),
+                "__sy": sum((at("__sy", o) for o in steps[1:]), F.col("__sy")),
+                "__sxy": sum((at("__sxy", o) + o * at("__sy", o) for o in steps[1:]), F.col("__sxy")),
+            }
+        df = df.withColumns(wider)
+        span *= SPREAD
+    return df.drop("__sn", "__sy", "__sxy")
 
 
 def extremes(df: DataFrame, group: list[str], pos: str = "pos", value: str = "value") -> DataFrame:

@@ -51,6 +51,16 @@ def test_decay_hold(spark, fold, decay):
         assert [a for _, _, a in rows] == pytest.approx(model.hold(signals[g], decay), abs=1e-12)
 
 
+def test_decay_does_not_depend_on_other_groups(spark):
+    signals = {"a": [((i * 7919) % 997) / 313 for i in range(3000)]}
+    more = signals | {"b": [float(i % 13) for i in range(20_000)]}
+    alone, beside = (
+        {r.pos: r.av for r in peaks.exp_decay_hold(pos_rows(spark, x), 0.95, G).where("g = 'a'").collect()}
+        for x in (signals, more)
+    )
+    assert alone == beside
+
+
 def test_decay_hand_case(spark):
     df = peaks.exp_decay_hold(pos_rows(spark, {"a": [4, 0, 2]}), 0.5, G)
     assert [a for _, a in by_group(df, "pos", "av")["a"]] == [4, 2, 2]
