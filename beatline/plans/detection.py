@@ -9,7 +9,7 @@ time: it adds no shuffle, and the same frames serve batch and stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.functions.arrays import peak_positions, teager, teager_sum
@@ -76,13 +76,22 @@ def beat_segments(
             F.col("pair.a").cast("long").alias("start"),
             length.cast("long").alias("len"),
             "times",
-            F.slice("ecg", F.col("pair.a") + 1, length).alias("ecg"),
+            _once(F.slice("ecg", F.col("pair.a") + 1, length), "ecg"),
             (F.col("pair.a") + base).alias("abs_start"),
             (F.col("pair.b") + base).alias("abs_end"),
         )
     )
 
 
+def _once(value: Column, name: str) -> Column:
+    """``value`` as a column that is worked out once.
+
+    The one-row generator fixes it; the optimizer would copy a plain expression
+    into every later use and every filter above it.
+    """
+    return F.inline(F.array(F.struct(value.alias(name))))
+
+
 def teager_energy(segments: DataFrame) -> DataFrame:
     """Add ``psi``, the slice's Teager energy sample by sample."""
     return segments.withColumn("psi", teager(F.col("ecg")))
@@ -90,7 +99,7 @@ def teager_energy(segments: DataFrame) -> DataFrame:
 
 def avg_teager(segments: DataFrame) -> DataFrame:
     """Add ``avg_te``: summed energy over the whole slice length."""
-    return segments.withColumn("avg_te", teager_sum(F.col("ecg")) / F.col("len"))
+    return segments.select("*", _once(teager_sum(F.col("ecg")) / F.col("len"), "avg_te"))
 
 
 def rr_interval(segments: DataFrame, fs: float = FS) -> DataFrame:

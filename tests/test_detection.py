@@ -120,3 +120,9 @@ def test_detection_adds_no_shuffle(spark):
     firing = spark.createDataFrame([], "signame string, k bigint, times array<timestamp_ntz>, ecg array<double>")
     plan = d.detect_in_windows(firing)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_beats_are_scored_once(spark):
+    df = d.detect_anomalies(samples(spark, {"a": [0.0] * 10}))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
