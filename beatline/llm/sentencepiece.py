@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from beatline.llm.common import prepared, slices
+from beatline.llm.common import prepared, ship, slices
 from beatline.llm.token_counts import frequent_pieces
 from beatline.runtime import BROADCAST_ROWS, store
 
@@ -422,6 +422,8 @@ def decode_ids(ids: np.ndarray, own: Model) -> str:
 def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the decoded text of each row's ids; null ids give a null text. Nothing is shuffled."""
 
+    ship(encoded.sparkSession)
+
     @F.pandas_udf("string")
     def text_of(rows):
         own = model(model_path)

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from beatline.llm.common import UNICODE_SPACE, WordCache, prepared, slices
+from beatline.llm.common import UNICODE_SPACE, WordCache, prepared, ship, slices
 from beatline.llm.pfor import END, File, Writer
 from beatline.llm.token_counts import tokenizer
 from beatline.runtime import partitions_for, scratch_path, store
@@ -111,6 +111,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     ["file", "id", "at", "n_tokens", "ids_crc32"],
                 )
 
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
     read = store(
         files.mapInArrow(opened, "file long, id long, at long, n_tokens long, ids_crc32 long"), "token-docs"

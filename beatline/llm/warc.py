@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.llm.common import attach, prepared, slices
+from beatline.llm.common import attach, prepared, ship, slices
 from beatline.runtime import scratch_path, store
 
 #: Fixed values of the two formats: header fields of ARC record lines by version,
@@ -212,6 +212,7 @@ def read_arc(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
                         rows, held = [], 0
                 yield _batch(rows)
 
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(parsed, _RECORD)
 
@@ -355,6 +356,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                             rows, held = [], 0
                 yield _read_batch(rows)
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parsed, _READ)
 
 
