@@ -25,19 +25,23 @@ SYMBOLS = "#*$%&|<>"
 class Band:
     """What a document's fertility may be. Entropy is judged against its possible maximum."""
 
-    chars_per_piece: tuple[float, float] = (1.0, 6.0)
-    chars_per_byte_token: tuple[float, float] = (1.0, 6.0)
+    chars_per_piece: tuple[float, float] = (1.2, 6.0)
+    chars_per_byte_token: tuple[float, float] = (1.2, 6.0)
     most_byte_share: float = 0.2
-    least_entropy_share: float = 0.45
+    least_entropy_share: float = 0.65
 
 
 #: Default bands. A language code wins over a script, a script over ``*``. Scripts
 #: for which the vocabularies have few pieces fall back to bytes and short tokens.
 BANDS = {
-    "*": Band((0.2, 8.0), (0.2, 8.0), 0.9),
+    "*": Band((0.2, 8.0), (0.2, 8.0), 0.9, 0.45),
     "LATIN": Band(),
-    "CYRILLIC": Band((0.8, 6.0), (0.3, 6.0), 0.2),
-    "GREEK": Band((0.5, 6.0), (0.3, 6.0), 0.5),
+    "en": Band((1.4, 6.5), (1.4, 6.5), 0.05),
+    "de": Band((1.4, 6.5), (1.3, 6.0), 0.05),
+    "fr": Band((1.3, 6.0), (1.2, 5.5), 0.05),
+    "es": Band((1.3, 6.0), (1.2, 5.5), 0.05),
+    "CYRILLIC": Band((0.8, 6.0), (0.3, 6.0), 0.2, 0.5),
+    "GREEK": Band((0.5, 6.0), (0.3, 6.0), 0.5, 0.5),
 }
 
 
