@@ -17,9 +17,19 @@ NAME_LENGTH = 3
 EVENT = ("id", "signame", "time", "abnormal")
 
 
-def ecg_signal(table: DataFrame, ecg_id: int) -> DataFrame:
-    """The waveform of one abnormal beat."""
-    return table.where((F.col("id") == ecg_id) & (F.col("abnormal") == "TRUE")).select("ecg")
+def ecg_signal(table: DataFrame, ecg_id: int, signame: str | None = None, date: str | None = None) -> DataFrame:
+    """The waveform of one abnormal beat.
+
+    Hashed ids lie anywhere in the stored table. The event it was chosen from
+    names its signal and date too: the date prunes folders, the signal the row
+    groups of their sorted files.
+    """
+    found = table.where((F.col("id") == ecg_id) & (F.col("abnormal") == "TRUE"))
+    if signame is not None:
+        found = found.where(F.col("signame") == signame)
+    if date is not None:
+        found = found.where(F.col("date") == F.lit(date).cast("date"))
+    return found.select("ecg")
 
 
 def latest_events(table: DataFrame, signame: str, rows: int = REPORT_ROWS) -> DataFrame:
@@ -50,9 +60,9 @@ def events_view(table: DataFrame, signame: str | None = None) -> DataFrame:
     return latest_events(table, signame)
 
 
-def signal_trace(table: DataFrame, ecg_id: int) -> DataFrame:
+def signal_trace(table: DataFrame, ecg_id: int, signame: str | None = None, date: str | None = None) -> DataFrame:
     """(x, y) points of one abnormal beat, x counting samples from 0."""
-    return ecg_signal(table, ecg_id).select(F.posexplode("ecg").alias("x", "y"))
+    return ecg_signal(table, ecg_id, signame, date).select(F.posexplode("ecg").alias("x", "y"))
 
 
 def signal_names(table: DataFrame) -> DataFrame:

@@ -238,6 +238,7 @@ FROM e JOIN s ON s.signame = e.signame GROUP BY ALL""",
         "ecg_signal": wide + f", {IDS} SELECT w.value AS y FROM i AS a {SLICES} WHERE a.id = 10",
         "latest_events": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE signame = '007' AND abnormal = 'TRUE' "
         "ORDER BY t.time DESC, id DESC LIMIT 50",
+        "latest_events_stored": chain + f"SELECT signame, {stamp('time')} AS time, abnormal FROM a WHERE signame = 'error'",
         "recent_events": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE t.time > (SELECT max(t.time) - INTERVAL 86400 SECOND FROM t) "
         "ORDER BY t.time, id LIMIT 50",
         "events_view_all": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE t.time > (SELECT max(t.time) - INTERVAL 60 SECOND FROM t) "

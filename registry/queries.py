@@ -455,6 +455,14 @@ def latest_events(spark, sf):
     return _event(serving.latest_events(event_table(spark, sf), "007"))
 
 
+def latest_events_stored(spark, sf):
+    """The report over the table that detection filled."""
+    path = scratch_path(spark, "table")
+    signal_table.sink_signal_samples(_anomalies(spark, sf), path)
+    latest = serving.latest_events(signal_table.read_signal_samples(spark, path), "error", rows=1_000_000)
+    return _event(latest).select("signame", "time", "abnormal")
+
+
 def recent_events(spark, sf):
     return _event(serving.recent_events(event_table(spark, sf), 86_400))
 

@@ -103,6 +103,19 @@ def test_recent_prunes_by_date(spark, tmp_path):
     assert any("date" in scan.split("PushedFilters")[0] for scan in plan.split("PartitionFilters: ")[1:])
 
 
+def test_lookup_prunes_by_date_and_signal(spark, tmp_path):
+    path = str(tmp_path / "table")
+    beats = spark.createDataFrame(rows((1, "a", 0, "TRUE"), (2, "a", 120, "TRUE"), (3, "b", 120, "TRUE")), SIGNAL_SAMPLES)
+    signal_table.sink_signal_samples(beats, path)
+    stored = signal_table.read_signal_samples(spark, path)
+    found = serving.ecg_signal(stored, 2, "a", "2024-01-02")
+    assert [r.ecg for r in found.collect()] == [[2.0, 1.0]]
+    assert serving.ecg_signal(stored, 2, "b", "2024-01-02").count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "date" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "EqualTo(signame,a)" in plan
+
+
 def test_latest(table):
     got = [(r.id, r.abnormal) for r in serving.latest_events(table, "101").collect()]
     want = [(i, "TRUE") for i in range(198, -1, -2) if i % 5][:50]
