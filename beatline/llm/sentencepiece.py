@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -45,6 +46,7 @@ class Model:
     bytes_: list[int]
     surface: list[bytes | None]
     longest: int
+    pairs: frozenset[str]
 
 
 @lru_cache(maxsize=2)
@@ -75,6 +77,7 @@ def model(path: str) -> Model:
         [byte[f"<0x{k:02X}>"] for k in range(256)],
         surface,
         max(map(len, normal)),
+        frozenset(p[i : i + 2] for p in normal for i in range(len(p) - 1)),
     )
 
 
@@ -83,12 +86,22 @@ def units(text: str, prefix: bool = True) -> list[str]:
     return _UNIT.findall((SPACE if prefix and text else "") + text.replace(" ", SPACE))
 
 
+def split_unit(unit: str, own: Model) -> list[str]:
+    """Parts of a unit between which no piece can lie: its two characters stand in no piece together."""
+    parts, begin, pairs = [], 0, own.pairs
+    for end in range(1, len(unit)):
+        if unit[end - 1 : end + 1] not in pairs:
+            parts.append(unit[begin:end])
+            begin = end
+    return [*parts, unit[begin:]]
+
+
 def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
-    """Add ``keys``, ``pids``, ``ranks`` and ``scores``: the edges of each distinct ``unit``.
+    """Add the edges of each distinct ``unit``: keys, pids, ranks, scores, begins and ends.
 
     Substrings of at most the longest piece's length are exploded and joined to
-    the piece table by equality; a key is start * (longest + 1) + length. The
-    piece table is a vocabulary file's, its row count is checked, and it is
+    the piece table by equality; a key is start * (longest + 1) + length, and
+    edges are in order of rank and start, single characters last. The piece table is a vocabulary file's, its row count is checked, and it is
     broadcast, so a unit's edges stay adjacent and are gathered where they are.
     """
     spark = unit_rows.sparkSession
@@ -98,27 +111,27 @@ def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
         [(p, i, own.ranks[p], own.scores[p]) for p, i in own.ids.items()], "piece string, pid int, rank int, score double"
     )
     width = own.longest + 1
-    size = F.length("unit")
-    cut = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(own.longest), size - i)),
-                lambda n: F.struct((i * width + n).alias("key"), F.substring(F.col("unit"), i + 1, n).alias("piece")),
-            ),
-        )
-    )
+    others = [c for c in unit_rows.columns if c != "unit"]
     numbered = unit_rows.withColumn("uid", F.monotonically_increasing_id())
+    starts = numbered.select("*", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("i"))
+    most = F.least(F.lit(own.longest), F.length("unit") - F.col("i"))
+    cut = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("n"))
+    first = (F.col("i") == 0) & (F.col("n") == 1)
     edges = (
-        numbered.select("*", F.explode(cut).alias("e"))
-        .select(*numbered.columns, "e.key", "e.piece")
+        cut.select(
+            "uid",
+            # Only a unit's first row, its first character, carries the unit itself.
+            *[F.when(first, F.col(c)).alias(c) for c in ("unit", *others)],
+            (F.col("i") * width + F.col("n")).alias("key"),
+            F.substring(F.col("unit"), F.col("i") + 1, F.col("n")).alias("piece"),
+        )
         .join(F.broadcast(pieces), "piece", "left")
-        .where("pid is not null or key % {0} = 1".format(width))  # single characters keep every unit
-        .select(*numbered.columns, "key", "pid", "rank", "score")
+        .where(f"pid is not null or key % {width} = 1")  # single characters keep every unit
+        .select("uid", *unit_rows.columns, "key", "pid", "rank", "score")
     )
     fields = unit_rows.schema.fields
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields]) + (
-        ", keys array<int>, pids array<int>, ranks array<int>, scores array<double>"
+        ", keys array<int>, pids array<int>, ranks array<int>, scores array<double>, begins array<int>, ends array<int>"
     )
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +153,16 @@ def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], uid[1:] != uid[:-1]]))
         offsets = pa.array(np.append(first, len(uid)).astype(np.int32))
         at = pa.array(first)
-        edge = [pa.ListArray.from_arrays(offsets, pa.concat_arrays([rows.column(c)])) for c in ("key", "pid", "rank", "score")]
+        rank = rows.column("rank").fill_null(_NONE).to_numpy()
+        unit = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(uid))))
+        key = rows.column("key").to_numpy()
+        begin, size = key // width, key % width
+        order = pa.array(np.lexsort([key, np.where(size > 1, rank, _NONE), unit]))
+        values = [*[rows.column(c) for c in ("key", "pid", "rank", "score")], pa.array(begin), pa.array(begin + size)]
+        edge = [pa.ListArray.from_arrays(offsets, v.take(order)) for v in values]
         return pa.RecordBatch.from_arrays(
-            [*[rows.column(f.name).take(at) for f in fields], *edge], [*[f.name for f in fields], "keys", "pids", "ranks", "scores"]
+            [*[rows.column(f.name).take(at) for f in fields], *edge],
+            [*[f.name for f in fields], "keys", "pids", "ranks", "scores", "begins", "ends"],
         )
 
     return edges.mapInArrow(gathered, schema)
@@ -153,6 +173,32 @@ def _edge(values: str, start, length, width: int):
     return F.get(F.col(values), (F.array_position("keys", (start * width + length).cast("int")) - 1).cast("int"))
 
 
+def _in_rank_order(width: int):
+    """BPE by one fold over the edges: for each character the end of the symbol it begins, -1 inside one.
+
+    An edge that joins two neighbouring symbols when its turn comes is the best
+    merge there is. Only a merge that allows an edge whose turn is over needs
+    more: then the result is empty.
+    """
+
+    def step(ends, k):
+        begin, end = F.get("begins", k), F.get("ends", k)
+        middle = F.get(ends, begin)
+        merged = F.transform(ends, lambda x, i: F.when(i == begin, end).when(i == middle, -1).otherwise(x))
+        left = F.array_position(ends, begin).cast("int") - 1
+        after = F.array_position("keys", begin * width + F.get(ends, end) - begin)
+        before = F.array_position("keys", left * width + end - left)
+        late = after.between(1, k) | before.between(1, k)
+        return F.when(
+            F.get(ends, middle) == end, F.when(late, F.array().cast("array<int>")).otherwise(merged)
+        ).otherwise(ends)
+
+    size = F.length("unit")
+    start = F.transform(F.sequence(F.lit(0), size), lambda i: F.when(i < size, i + 1).otherwise(-1))
+    # The last edges are the single characters, one for each.
+    return F.aggregate(F.sequence(F.lit(0), F.size("keys") - size - 1), start, step)
+
+
 def _merged(width: int):
     """Boundaries after BPE: a fold that drops the boundary of the best merge until none is left."""
 
@@ -239,7 +285,12 @@ def encode_units(unit_rows: DataFrame, own: Model) -> DataFrame:
         path, back = _viterbi(width, own.longest, min(own.scores.values()) - 10.0)
         edges = edges.withColumn("back", back).withColumn("bounds", path)
     else:
-        edges = edges.withColumn("bounds", _merged(width))
+        # Generators fix both folds, which would be worked out with every use.
+        edges = edges.select("*", F.explode(F.array(_in_rank_order(width))).alias("symbols"))
+        size = F.length("unit")
+        opens = F.filter(F.sequence(F.lit(0), size), lambda i: (i == size) | (F.get("symbols", i) > 0))
+        bounds = F.when(F.size("symbols") == 0, _merged(width)).otherwise(opens)
+        edges = edges.select("*", F.explode(F.array(bounds)).alias("bounds"))
     ids = F.transform(
         F.sequence(F.lit(1), F.size("bounds") - 1),
         lambda k: F.get(
@@ -317,7 +368,7 @@ def encode(
 
     Texts are cut into units at spaces. The units that are frequent over all
     documents are encoded once and broadcast, at most ``table_size``. The others
-    are grouped over all documents, encoded once each by the lattice and its
+    are cut where no piece can lie and grouped over all documents, encoded once each by the lattice and its
     fold, and sent back to the blocks of documents that hold them, where ids are
     put together. Blocks travel compressed, and no task holds more than a few.
     Units over LONGEST characters are folded inside the block.
@@ -337,21 +388,22 @@ def encode(
     encoded = encode_units(rows, own).collect()  # at most table_size rows
     table = spark.sparkContext.broadcast({r.unit: with_bytes(r.ids, own).tobytes() for r in encoded})
 
-    def packed(part: pa.RecordBatch) -> tuple[int, bytes]:
+    def packed(part: pa.RecordBatch) -> tuple[int, pa.Buffer]:
+        """A block of documents under a name made from its content."""
         sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
-        with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+        with pa.ipc.new_stream(sink, part.schema) as writer:
             writer.write_batch(part)
-        payload = sink.getvalue().to_pybytes()
+        payload = sink.getvalue()
         return xxh64_intdigest(payload) - (1 << 63), payload
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = table.value
+        known, mine = table.value, model(model_path)
         for part in slices(batches):
             found: set[str] = set()
             for text in part.column("text").to_pylist():
                 found.update(units(text, prefix))
-            own_units = [u for u in found if u not in known and len(u) <= LONGEST]
+            parts = {p for u in found.difference(known) for p in split_unit(u, mine)}
+            own_units = [p for p in parts.difference(known) if len(p) <= LONGEST]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own_units, pa.string()), pa.array([packed(part)[0]] * len(own_units), pa.int64())], ["unit", "block"]
             )
@@ -359,6 +411,7 @@ def encode(
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             block, payload = packed(part)
+            payload = zstandard.compress(payload, 6)
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([payload], pa.binary())], ["block", "payload"])
 
     grouped = source.mapInArrow(rare, "unit string, block long").groupBy("unit").agg(F.collect_set("block").alias("blocks"))
@@ -374,22 +427,23 @@ def encode(
         import hashlib
 
         mine = model(model_path)
-        words, known = {}, table.value
+        words = dict(table.value)
         payloads = rows.column("payload").drop_null().to_pylist()
-        listed = rows.filter(rows.column("unit").is_valid())
-        for unit, ids in zip(listed.column("unit").to_pylist(), listed.column("ids").to_pylist(), strict=True):
-            words[unit] = with_bytes(ids, mine).tobytes()
+        listed = rows.filter(rows.column("unit").is_valid()).combine_chunks()
+        words.update(_listed(listed, mine))
         out: dict[str, list] = {"id": [], "ids": [], "n": [], "sha": []}
         for payload in payloads:
-            for part in pa.ipc.open_stream(payload):
+            for part in pa.ipc.open_stream(zstandard.decompress(payload)):
                 out["id"] += part.column("id").to_pylist()
                 for text in part.column("text").to_pylist():
                     found = units(text, prefix)
-                    for u in {u for u in found if u not in known and u not in words}:
-                        words[u] = with_bytes(long_unit(u, mine), mine).tobytes()
-                    ids = np.frombuffer(b"".join([known.get(u) or words[u] for u in found]), np.int32)
-                    out["ids"].append(ids)
-                    out["n"].append(len(ids))
+                    ids = list(map(words.get, found))
+                    if None in ids:
+                        for u in {u for u, i in zip(found, ids, strict=True) if i is None}:
+                            words[u] = b"".join([_part_ids(p, words, mine) for p in split_unit(u, mine)])
+                        ids = list(map(words.get, found))
+                    out["ids"].append(np.frombuffer(b"".join(ids), np.int32))
+                    out["n"].append(len(out["ids"][-1]))
                     out["sha"].append(hashlib.sha256(text.encode()).hexdigest())
         offsets = np.concatenate([[0], np.cumsum(out["n"])]).astype(np.int32)
         flat = np.concatenate(out["ids"]) if out["ids"] else np.zeros(0, np.int32)
@@ -406,6 +460,28 @@ def encode(
     return both.groupBy("block").applyInArrow(joined, schema)
 
 
+def _listed(rows: pa.Table, own: Model) -> dict[str, bytes]:
+    """Units of a block and their ids as bytes."""
+    if not len(rows):
+        return {}
+    ids = rows.column("ids").chunk(0)
+    ends = (ids.offsets.to_numpy() * 4).tolist()
+    flat = ids.values.to_numpy()
+    raw, below = flat.tobytes(), np.minimum.reduceat(flat, ids.offsets.to_numpy()[:-1]) < 0
+    found = {u: raw[b:e] for u, b, e in zip(rows.column("unit").to_pylist(), ends, ends[1:], strict=False)}
+    for i in np.flatnonzero(below).tolist():
+        unit = rows.column("unit")[i].as_py()
+        found[unit] = with_bytes(flat[ends[i] // 4 : ends[i + 1] // 4].tolist(), own).tobytes()
+    return found
+
+
+def _part_ids(part: str, words: dict[str, bytes], own: Model) -> bytes:
+    """Ids of a part: from the lattice, or merged here if it is too long for it."""
+    if (ids := words.get(part)) is None:
+        ids = words[part] = with_bytes(long_unit(part, own), own).tobytes()
+    return ids
+
+
 def _arrow_type(kind: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
