@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,18 +109,21 @@ def token_counts(
         # Kept while the worker lives, for as many tasks as use this table.
         cache = _CACHES.get(tokenizer_path)
         if cache is None or cache.known is not table.value:
-            cache = _CACHES[tokenizer_path] = WordCache(lambda s: lengths(tokenizer_path, s), known=table.value)
+            cache = _CACHES[tokenizer_path] = WordCache(
+                lambda s: lengths(tokenizer_path, s), known=table.value, longest=LONGEST
+            )
         for part in slices(batches):
-            sizes, counts = [], []
-            for text in part.column("text"):
-                sizes.append(len(text.as_buffer() or b""))
-                found, n = pieces(text.as_py(), special)
-                if len(text.as_buffer() or b"") > LONGEST and max(map(len, found)) > LONGEST:
-                    n += sum(lengths(tokenizer_path, [p for p in found if len(p) > LONGEST]))
-                    found = [p for p in found if len(p) <= LONGEST]
-                counts.append(n + sum(cache.values(found)))
+            every, cuts, specials = [], [0], []
+            for text in part.column("text").to_pylist():
+                found, n = pieces(text, special)
+                every += found
+                cuts.append(len(every))
+                specials.append(n)
+            sizes = cache.values(every)
+            counts = [n + sum(sizes[a:b]) for n, a, b in zip(specials, cuts, cuts[1:], strict=False)]
+            n_bytes = pc.binary_length(part.column("text")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"]
+                [part.column("id"), n_bytes, pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"]
             )
 
     return own.mapInArrow(counted, f"id {kind}, n_bytes long, n_tokens long").withColumn(
