@@ -30,6 +30,7 @@ def rows(seed=0):
         (5, "trailing space ", "en", "b"),
         (6, "  two  leading", "fr", "b"),
         (7, "ends <|endoftext|>here <|endoftext|>", "en", "c"),
+        (13, "<|endoftext|>" * 12, "en", "c"),
         (8, "odd\x1cbreaks\x85and\xa0spaces there　 \x00end", "en", "c"),
         (9, "été İstanbul ΣΑΣ ſ", "el", "c"),
         (10, "▁already ▁escaped▁", "en", "c"),
