@@ -125,13 +125,15 @@ class WordCache:
         return found
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each piece has about SLICE_BYTES of text, a row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each piece has about ``size`` bytes of text, a row at least."""
     for batch in batches:
         texts, begin, held = batch.column(column), 0, 0
         offsets = _ends(texts)
         for i, end in enumerate(offsets):
-            if end - held > SLICE_BYTES or i == len(offsets) - 1:
+            if end - held > size or i == len(offsets) - 1:
                 yield batch.slice(begin, i + 1 - begin)
                 begin, held = i + 1, end
 

@@ -20,6 +20,9 @@ from beatline.llm.token_counts import tokenizer
 
 SYMBOLS = "#*$%&|<>"
 
+#: Words a worker's cache holds in each of its two generations, and bytes of text it judges at once.
+CACHED, SLICE = 120_000, 1 << 20
+
 
 @dataclass(frozen=True)
 class Band:
@@ -147,7 +150,7 @@ def quality(
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(piece_path, byte_path)
         _, is_byte = _pieces(piece_path)
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE):
             texts = part.column("text").to_pylist()
             words = [t.encode().split() for t in texts]
             sizes = np.array([len(w) for w in words], np.int64)
@@ -213,7 +216,7 @@ def _cache(piece_path: str, byte_path: str) -> WordCache:
         def encode(words: list[bytes]) -> list[tuple[bytes, int, int]]:
             return [(*v, xxh64_intdigest(w, 7)) for v, w in zip(word_values(piece_path, byte_path, words), words, strict=True)]
 
-        _CACHES[piece_path, byte_path] = WordCache(encode, 200_000)
+        _CACHES[piece_path, byte_path] = WordCache(encode, CACHED)
     return _CACHES[piece_path, byte_path]
 
 
