@@ -1,7 +1,9 @@
 """Quality rules, exact and line deduplication, mixing."""
 
+import base64
 import hashlib
 import math
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -205,6 +207,28 @@ def test_bands_by_language_and_script(spark):
     assert kept.columns == frame(spark, given).columns and 1 in {r.doc_id for r in kept.collect()}
 
 
+def junk(rng):
+    """Texts that pass the base rules and are no language."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {
+        "letter soup": " ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(300)),
+        "encoded": " ".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(40)),
+        "hexadecimal": " ".join(rng.randbytes(16).hex() for _ in range(60)),
+        "symbols": " ".join("".join(rng.choices("#*$%&|<>=+-_/^~", k=rng.randint(2, 8))) for _ in range(200)),
+    }
+
+
+def test_junk_is_rejected_in_every_language(spark):
+    given = [
+        (10 * k + j, t, lang, name)
+        for k, lang in enumerate(["en", "de", "fr", "es"])
+        for j, (name, t) in enumerate(junk(random.Random(7)).items())
+    ]
+    got = {r.id: r for r in quality(frame(spark, given), PIECES, BYTES).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [(lang, name) for i, _, lang, name in given if got[i].kept] == []
+
+
 def test_empty_tables(spark):
     docs = empty(spark)
     assert exact_dedup(docs).count() == line_dedup(docs).count() == mix(docs).count() == 0
