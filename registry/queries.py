@@ -456,11 +456,12 @@ def latest_events(spark, sf):
 
 
 def latest_events_stored(spark, sf):
-    """The report over the table that detection filled."""
+    """All of one signal's abnormal beats in the table that detection filled, without a report's limit."""
     path = scratch_path(spark, "table")
     signal_table.sink_signal_samples(_anomalies(spark, sf), path)
-    latest = serving.latest_events(signal_table.read_signal_samples(spark, path), "error", rows=1_000_000)
-    return _event(latest).select("signame", "time", "abnormal")
+    table = signal_table.read_signal_samples(spark, path)
+    found = table.where((F.col("signame") == "error") & (F.col("abnormal") == "TRUE"))
+    return _event(found).select("signame", "time", "abnormal")
 
 
 def recent_events(spark, sf):

@@ -42,3 +42,9 @@ def test_query(spark, database, name):
     assert sorted(want.columns) == columns
     expected = want.select(*[f'"{c}"' for c in columns]).fetchall()
     assert sorted(map(tuple, df.select(columns).collect()), key=order) == sorted(expected, key=order)
+
+
+def test_stored_events_have_no_limit(spark):
+    df = queries.latest_events_stored(spark, str(SF))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Sort" not in plan
