@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from beatline.llm.exact_dedup import exact_dedup
 from beatline.llm.line_dedup import line_dedup
+from beatline.llm.merkle import merkle_manifest
 from beatline.llm.mixing import mix
 from beatline.llm.quality import quality
 from beatline.llm.sentencepiece import decode, encode
@@ -86,6 +87,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle_manifest(
+        _documents(spark, sf_dir),
+        tampered=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+        changes={"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")},
+    )
+    return proved.withColumnRenamed("id", "doc_id")
+
+
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -181,6 +191,60 @@ FROM documents d LEFT JOIN covered c ON d.doc_id = c.doc_id GROUP BY d.doc_id
 """
 
 
+OP13_SQL = """
+WITH RECURSIVE fielded AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    (4294967295 - list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 5 = 0 AS tampered
+  FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS claim
+  FROM fielded),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS depth, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, depth + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY tree, depth, pos // 16, n),
+subs AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS depth, pos, subroot AS h, (SELECT count(*) FROM subs) AS n FROM subs
+  UNION ALL
+  SELECT depth + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16
+  FROM tops WHERE n > 1 GROUP BY depth, pos // 16, n),
+root AS (SELECT h AS root FROM tops WHERE n = 1),
+steps AS (
+  SELECT 0 AS part, tree, depth, pos, n FROM nodes WHERE n > 1
+  UNION ALL SELECT 1, '', depth, pos, n FROM tops WHERE n > 1),
+siblings AS (
+  SELECT s.part, s.tree, s.depth, s.pos, coalesce(string_agg(o.h, '' ORDER BY o.pos) FILTER (o.pos < s.pos), '') AS l,
+    coalesce(string_agg(o.h, '' ORDER BY o.pos) FILTER (o.pos > s.pos), '') AS r
+  FROM steps s JOIN (SELECT 0 AS part, tree, depth, pos, h FROM nodes UNION ALL SELECT 1, '', depth, pos, h FROM tops) o
+    ON s.part = o.part AND s.tree = o.tree AND s.depth = o.depth AND s.pos // 16 = o.pos // 16
+  GROUP BY ALL),
+climb AS (
+  SELECT doc_id, leaf, p.tree, subroot, 0 AS part, 0 AS depth, p.pos, coalesce(claim, leaf) AS h, '' AS proof, s.pos AS up,
+    row_number() OVER () AS row
+  FROM placed p JOIN subs s USING (tree)
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.tree, c.subroot, CASE WHEN s.pos IS NULL THEN c.part + 1 ELSE c.part END,
+    CASE WHEN s.pos IS NULL THEN 0 ELSE c.depth + 1 END, CASE WHEN s.pos IS NULL THEN c.up ELSE c.pos // 16 END,
+    CASE WHEN s.pos IS NULL THEN c.h ELSE sha256(s.l || c.h || s.r) END,
+    CASE WHEN s.pos IS NULL THEN c.proof ELSE c.proof || s.l || s.r END, c.up, c.row
+  FROM climb c LEFT JOIN siblings s
+    ON s.part = c.part AND s.tree = CASE WHEN c.part = 0 THEN c.tree ELSE '' END AND s.depth = c.depth AND s.pos = c.pos
+  WHERE c.part < 2)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM climb, root WHERE part = 2
+"""
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -192,4 +256,5 @@ def sql() -> dict[str, str]:
         "op4_exact_dedup": OP4_SQL,
         "op6_line_dedup": OP6_SQL,
         "op8_substring_dedup": OP8_SQL,
+        "op13_merkle": OP13_SQL,
     }
