@@ -13,6 +13,7 @@ from beatline.llm.line_dedup import line_dedup
 from beatline.llm.merkle import merkle_manifest
 from beatline.llm.mixing import mix
 from beatline.llm.quality import quality
+from beatline.llm.ranked_search import ranked_search
 from beatline.llm.sentencepiece import decode, encode
 from beatline.llm.simhash import near_duplicates
 from beatline.llm.substring_dedup import substring_dedup
@@ -87,6 +88,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=10)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     proved = merkle_manifest(
         _documents(spark, sf_dir),
@@ -191,6 +196,34 @@ FROM documents d LEFT JOIN covered c ON d.doc_id = c.doc_id GROUP BY d.doc_id
 """
 
 
+OP12_SQL = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sizes AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS every FROM split),
+counts AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM split) GROUP BY ALL),
+asked AS (
+  SELECT item_id, item, term, count(*) AS times FROM (
+    SELECT item_id, row_number() OVER () AS item,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, sizes GROUP BY term),
+scores AS (
+  SELECT item_id, item, doc_id, row,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(terms) * docs) // every))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN split USING (row), sizes
+  GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP13_SQL = """
 WITH RECURSIVE fielded AS (
   SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
@@ -256,5 +289,6 @@ def sql() -> dict[str, str]:
         "op4_exact_dedup": OP4_SQL,
         "op6_line_dedup": OP6_SQL,
         "op8_substring_dedup": OP8_SQL,
+        "op12_ranked_search": OP12_SQL,
         "op13_merkle": OP13_SQL,
     }
