@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatline.llm import merge_replay
 from beatline.llm.exact_dedup import exact_dedup
 from beatline.llm.line_dedup import line_dedup
 from beatline.llm.merkle import merkle_manifest
@@ -88,6 +89,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = merge_replay.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return merge_replay.decode(encoded, path).select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=10)
 

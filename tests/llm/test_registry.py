@@ -32,6 +32,6 @@ def test_query_equals_sql(spark, database, name):
 
 def test_names():
     found = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in registry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in registry.queries()}
     assert set(registry.queries()) <= set(found) and "pipeline" in found
     assert set(registry.sql()) <= set(contract.oracle_sql())
