@@ -85,6 +85,23 @@ def attach(left: DataFrame, right: DataFrame, key: str, spread: list[str], rows:
     return joined.select(*left.columns, *[found[c].alias(c) for c in payload])
 
 
+_HELD: dict[str, dict] = {}
+
+
+def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
+    """What one operator keeps in a Python worker between its tasks.
+
+    Workers outlive a job, so what other operators left in this one is dropped
+    first: a chain of operators needs the memory of one.
+    """
+    for other in [name for name in _HELD if name != owner]:
+        del _HELD[other]
+    mine = _HELD.setdefault(owner, {})
+    if key not in mine:
+        mine[key] = make()
+    return mine[key]
+
+
 class WordCache:
     """Values of repeated words, in two generations so that its memory stays bounded.
 

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beatline.llm.common import WordCache, prepared, slices
+from beatline.llm.common import WordCache, prepared, slices, worker_cache
 from beatline.llm.substring_dedup import window_hashes
-from beatline.llm.token_counts import tokenizer
+from beatline.llm.token_counts import load_tokenizer
 
 SYMBOLS = "#*$%&|<>"
 
@@ -50,7 +50,6 @@ BANDS = {
 }
 
 
-@lru_cache(maxsize=2)
 def _pieces(path: str):
     import sentencepiece
 
@@ -59,13 +58,12 @@ def _pieces(path: str):
     return own, is_byte
 
 
-def word_values(piece_path: str, byte_path: str, words: list[bytes]) -> list[tuple[bytes, int]]:
+def word_values(pieces, byte, words: list[bytes]) -> list[tuple[bytes, int]]:
     """Piece ids and number of byte-level tokens of single words, each as after a space."""
     texts = [w.decode() for w in words]
-    own, _ = _pieces(piece_path)
-    ids = own.encode(texts, num_threads=1)
-    byte = tokenizer(byte_path).encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-    return [(array("I", i).tobytes(), len(b.ids)) for i, b in zip(ids, byte, strict=True)]
+    ids = pieces.encode(texts, num_threads=1)
+    tokens = byte.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    return [(array("I", i).tobytes(), len(b.ids)) for i, b in zip(ids, tokens, strict=True)]
 
 
 @lru_cache(maxsize=65_536)
@@ -150,8 +148,7 @@ def quality(
     if not lang_col:
         own = own.withColumn("lang", F.lit(None).cast("string"))
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(piece_path, byte_path)
-        _, is_byte = _pieces(piece_path)
+        cache, is_byte = _cache(piece_path, byte_path)
         for part in slices(batches, size=SLICE):
             texts = part.column("text").to_pylist()
             words = [t.encode().split() for t in texts]
@@ -206,20 +203,21 @@ def quality(
     return own.mapInArrow(judged, schema.add(own.schema["row"]) if carry else schema)
 
 
-_CACHES: dict[tuple[str, str], WordCache] = {}
+def _cache(piece_path: str, byte_path: str) -> tuple[WordCache, np.ndarray]:
+    """This worker's cache (piece ids, byte-level tokens and hash of a word), and which pieces are bytes."""
 
+    def make() -> tuple[WordCache, np.ndarray]:
+        from xxhash import xxh64_intdigest
 
-def _cache(piece_path: str, byte_path: str) -> WordCache:
-    """This worker's cache: piece ids, byte-level tokens and hash of a word."""
-    from xxhash import xxh64_intdigest
-
-    if (piece_path, byte_path) not in _CACHES:
+        pieces, is_byte = _pieces(piece_path)
+        byte = load_tokenizer(byte_path)
 
         def encode(words: list[bytes]) -> list[tuple[bytes, int, int]]:
-            return [(*v, xxh64_intdigest(w, 7)) for v, w in zip(word_values(piece_path, byte_path, words), words, strict=True)]
+            return [(*v, xxh64_intdigest(w, 7)) for v, w in zip(word_values(pieces, byte, words), words, strict=True)]
+
+        return WordCache(encode, CACHED), is_byte
 
-        _CACHES[piece_path, byte_path] = WordCache(encode, CACHED)
-    return _CACHES[piece_path, byte_path]
+    return worker_cache("quality", (piece_path, byte_path), make)
 
 
 def _dup_lines(text: str) -> int:

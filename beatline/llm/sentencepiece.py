@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from beatline.llm.common import prepared, ship, slices
+from beatline.llm.common import prepared, ship, slices, worker_cache
 from beatline.llm.token_counts import frequent_pieces
 from beatline.runtime import BROADCAST_ROWS, store
 
@@ -28,6 +28,9 @@ LONGEST = 64
 #: Units in the broadcast table, and how many of them a partition names.
 TABLE, NAMED = 150_000, 20_000
 
+#: UTF-8 bytes of text in a block of documents.
+SLICE = 2 << 20
+
 # No piece joins a character other than a space to a space after it, and none
 # holds a newline (checked when a model is read): units end there.
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -397,8 +400,8 @@ def encode(
         return xxh64_intdigest(payload) - (1 << 63), payload
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, mine = table.value, model(model_path)
-        for part in slices(batches):
+        known, mine = table.value, _own_model(model_path)
+        for part in slices(batches, size=SLICE):
             found: set[str] = set()
             for text in part.column("text").to_pylist():
                 found.update(units(text, prefix))
@@ -409,7 +412,7 @@ def encode(
             )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE):
             block, payload = packed(part)
             payload = zstandard.compress(payload, 6)
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([payload], pa.binary())], ["block", "payload"])
@@ -426,8 +429,10 @@ def encode(
     def joined(rows: pa.Table) -> pa.Table:
         import hashlib
 
-        mine = model(model_path)
-        words = dict(table.value)
+        mine = _own_model(model_path)
+        # The block's own units first, then the table, which all blocks share.
+        words: dict[str, bytes] = {}
+        known = table.value
         payloads = rows.column("payload").drop_null().to_pylist()
         listed = rows.filter(rows.column("unit").is_valid()).combine_chunks()
         words.update(_listed(listed, mine))
@@ -437,11 +442,12 @@ def encode(
                 out["id"] += part.column("id").to_pylist()
                 for text in part.column("text").to_pylist():
                     found = units(text, prefix)
-                    ids = list(map(words.get, found))
-                    if None in ids:
-                        for u in {u for u, i in zip(found, ids, strict=True) if i is None}:
-                            words[u] = b"".join([_part_ids(p, words, mine) for p in split_unit(u, mine)])
-                        ids = list(map(words.get, found))
+                    ids = list(map(known.get, found))
+                    for k in [k for k, i in enumerate(ids) if i is None]:
+                        u = found[k]
+                        if (own_ids := words.get(u)) is None:
+                            own_ids = words[u] = b"".join([_part_ids(p, words, known, mine) for p in split_unit(u, mine)])
+                        ids[k] = own_ids
                     out["ids"].append(np.frombuffer(b"".join(ids), np.int32))
                     out["n"].append(len(out["ids"][-1]))
                     out["sha"].append(hashlib.sha256(text.encode()).hexdigest())
@@ -475,9 +481,14 @@ def _listed(rows: pa.Table, own: Model) -> dict[str, bytes]:
     return found
 
 
-def _part_ids(part: str, words: dict[str, bytes], own: Model) -> bytes:
-    """Ids of a part: from the lattice, or merged here if it is too long for it."""
-    if (ids := words.get(part)) is None:
+def _own_model(path: str) -> Model:
+    """The model, kept by this worker in place of what other operators left."""
+    return worker_cache("sentencepiece", path, lambda: model(path))
+
+
+def _part_ids(part: str, words: dict[str, bytes], known: dict[str, bytes], own: Model) -> bytes:
+    """Ids of a part: from the table or the lattice, or merged here if it is too long for it."""
+    if (ids := known.get(part)) is None and (ids := words.get(part)) is None:
         ids = words[part] = with_bytes(long_unit(part, own), own).tobytes()
     return ids
 

@@ -33,8 +33,7 @@ def pieces(text: str, special: str | None) -> tuple[list[str], int]:
     return _PIECE.findall(text), 0
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str):
+def load_tokenizer(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,6 +42,9 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+tokenizer = lru_cache(maxsize=4)(load_tokenizer)
+
+
 def lengths(path: str, strings: list[str]) -> list[int]:
     encoded = tokenizer(path).encode_batch_fast(strings, add_special_tokens=False)
     return [len(e.ids) for e in encoded]

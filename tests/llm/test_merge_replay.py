@@ -11,7 +11,6 @@ import tiktoken
 from llm.cases import empty, frame, rows
 
 from beatline.llm import merge_replay
-from beatline.llm.token_counts import pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -22,11 +21,15 @@ def library(path=PATH, pattern=public_tokenizers.PATTERN):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def numbers(found):
+    return [np.frombuffer(ids, "<u4").tolist() for ids in found]
+
+
 def test_words_of_any_bytes():
     rng, own = random.Random(3), library()
     words = [bytes(rng.choices(b"abeth \xc3\xa9x\x00", k=rng.randint(0, 40))) for _ in range(3000)]
     words += [b"a" * 999, b" " * 700, bytes(range(256))]
-    assert merge_replay.replay(words, merge_replay.ranks(PATH)) == [own._encode_single_piece(w) if w else [] for w in words]
+    assert numbers(merge_replay.replay(words, merge_replay.ranks(PATH))) == [own._encode_single_piece(w) if w else [] for w in words]
 
 
 def test_ranks_in_any_order(tmp_path):
@@ -43,7 +46,7 @@ def test_ranks_in_any_order(tmp_path):
         path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(listed)))
         own = library(str(path))
         words = [bytes(rng.choices(b"abc", k=rng.randint(1, 30))) for _ in range(300)]
-        assert merge_replay.replay(words, merge_replay.ranks(str(path))) == [own._encode_single_piece(w) for w in words]
+        assert numbers(merge_replay.replay(words, merge_replay.ranks(str(path)))) == [own._encode_single_piece(w) for w in words]
 
 
 def test_documents(spark):
@@ -74,8 +77,12 @@ def test_empty_table(spark):
     assert merge_replay.decode(merge_replay.encode(empty(spark), PATH, public_tokenizers.PATTERN), PATH).count() == 0
 
 
-def test_pieces_end_matches():
-    own = library()
-    for _, t, _, _ in rows():
-        ids = b"".join(merge_replay.piece_ids(PATH, public_tokenizers.PATTERN, pieces(t or "", None)[0]))
-        assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(t or "")
+def test_memory_of_two_generations():
+    """Turned over all the time, and with strings too long to stay."""
+    own = merge_replay.ranks(PATH)
+    small = merge_replay._Known(lambda new: merge_replay.replay([m.encode() for m in new], own), 3)
+    rng = random.Random(4)
+    for _ in range(50):
+        asked = ["".join(rng.choices("abé ", k=rng.choice([1, 2, 3, 80]))) for _ in range(9)] * 2
+        assert small.values(asked) == merge_replay.replay([m.encode() for m in asked], own)
+        assert len(small.young) <= 3 + 9 and all(len(s) <= merge_replay.LONGEST for s in small.young)

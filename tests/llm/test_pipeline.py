@@ -47,7 +47,7 @@ def test_stages(spark):
 
     apart = stages["near dedup"](spark, unique, path).cache()
     held = unique.collect()
-    groups = brute_groups([brute_print(r.text, 5) for r in held], 6)
+    groups = brute_groups([brute_print(r.text, 4) for r in held], 4)
     best = defaultdict(list)
     for g, r in zip(groups, held, strict=True):
         best[g].append(r.doc_id)
