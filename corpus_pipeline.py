@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatline.llm.exact_dedup import unique_rows
-from beatline.llm.jaccard import one_of_similar
 from beatline.llm.mixing import mixed_rows
 from beatline.llm.quality import kept_documents
 from beatline.llm.sentencepiece import decode, encode
+from beatline.llm.simhash import one_of_each
 from beatline.runtime import store
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,27 +18,45 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the fertility bands."""
+    """Documents that pass the base rules and the fertility bands.
+
+    Null and empty texts have no words and go; a null language is judged by the
+    script; repeated rows stay or go together.
+    """
     return kept_documents(docs, PIECES, BYTES)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, the smallest doc_id."""
+    """One document of each text, the smallest doc_id.
+
+    A null text equals an empty one, a null doc_id comes after all others, and of
+    rows equal in every column one stays.
+    """
     return unique_rows(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the smallest doc_id."""
-    return one_of_similar(docs, shingle=5, similarity=0.8)
+    """One document of each group of near copies, the smallest doc_id.
+
+    Texts without words share the zero fingerprint and are one group; rows that
+    repeat the kept one's id and text stay with it.
+    """
+    return one_of_each(docs, shingle=4, most=4)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at weights 3, 1, 2 over 150 % of all words; a document taken twice is there twice."""
+    """Sources at weights 3, 1, 2 over 150 % of all words; a document taken twice is there twice.
+
+    A null source is a source, the last one; texts without words have size 0.
+    """
     return mixed_rows(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of each document, and whether they decode to its text."""
+    """SentencePiece ids of each document, and whether they decode to its text.
+
+    Null and empty texts have no ids; repeated rows are encoded one by one.
+    """
     both = decode(encode(docs, PIECES), PIECES)
     return both.select(
         F.col("id").alias("doc_id"),
@@ -48,6 +66,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+#: Every stage gives an empty table for an empty one, and keeps the columns of documents but for the last.
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_copies),
