@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +59,27 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to Python workers, which need not have it installed; once per session.
+
+    The archive lies in the shared scratch folder, where any executor finds it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_beatline_shipped", False):
+        return
+    root, buffer = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, Path("beatline") / file.relative_to(root))
+    path = f"{scratch_path(spark, 'beatline')}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target)
+    stream.write(bytearray(buffer.getvalue()))
+    stream.close()
+    context.addPyFile(path)
+    context._beatline_shipped = True
+
+
 @dataclass(frozen=True)
 class GroupLoad:
     """Row counts that decide how a grouped operator is laid out."""

@@ -1,13 +1,18 @@
 import datetime as dt
+import gzip
 import json
-import re
+import os
+import tempfile
+from unittest import mock
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from beatline.schemas import MESSAGES, RECORD_HEADER
 from beatline.sinks.signal_table import time_chunk
-from beatline.sources import messages, metadata, signal_files
+from beatline.sources import line_ranges, messages, metadata, signal_files
 
 
 def wire(spark, *lines):
@@ -48,8 +53,90 @@ def test_one_file_read_in_many_splits(spark, tmp_path):
 def test_lines_are_not_shuffled(spark, tmp_path):
     (tmp_path / "1_signals.txt").write_text("1.0\n2.0\n")
     plan = signal_files.scan_signal_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert not re.search(r"(?<!Broadcast)Exchange|Sort", plan)
+    assert plan.count("Exchange") == 1 and "Sort" not in plan and "Join" not in plan
+    # What is shuffled is the list of ranges; lines only come into being above it.
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+    shuffled = plan[plan.index("Exchange"):]
+    assert "text#" not in shuffled and "begin#" in shuffled
+
+
+@pytest.fixture
+def narrow_splits(spark):
+    """Settings under which Spark cuts files another way than by default."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+
+    def cut():
+        spark.conf.set("spark.sql.files.minPartitionNum", "40")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+
+    yield cut
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_splits_that_change_after_the_frame_is_built(spark, tmp_path, narrow_splits, packed):
+    """Also where only Spark's reader can open a file: here one is packed."""
+    (tmp_path / "1_signals.txt").write_text("".join(f"{i}.0\n" for i in range(30_000)))
+    if packed:
+        with gzip.open(tmp_path / "record.gz", "wt") as file:
+            file.write("7.0\n8.0\n")
+    df = signal_files.scan_signal_files(spark, str(tmp_path)).where("record = '1'")
+    narrow_splits()
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+    assert df.count() == 30_000 and df.where("value != idx").count() == 0
+    assert df.select("idx").distinct().count() == 30_000
+
+
+def test_changed_file_is_refused(spark, tmp_path):
+    file = tmp_path / "1_signals.txt"
+    file.write_text("1.0\n2.0\n")
+    longer = signal_files.scan_signal_files(spark, str(tmp_path))
+    file.write_text("1.0\n2.0\n3.0\n")
+    with pytest.raises(Exception, match="has changed since"):
+        longer.collect()
+    same_length = signal_files.scan_signal_files(spark, str(tmp_path))
+    file.write_text("1.0\n2.0\n4.0\n")
+    os.utime(file, (1, 1))
+    with pytest.raises(Exception, match="has changed since"):
+        same_length.collect()
+
+
+@given(st.binary(max_size=60).map(lambda b: b.replace(b"\x00", b"\n").replace(b"\x01", b"\r\n")), st.integers(1, 9), st.integers(1, 7))
+def test_any_bytes_in_any_ranges(content, size, block):
+    """Ranges of any size, read in blocks of any size, hold each line once, in order."""
+    with tempfile.NamedTemporaryFile() as file, mock.patch.object(line_ranges, "BLOCK", block):
+        file.write(content)
+        file.flush()
+        found = [
+            text.as_py()
+            for begin in range(0, max(1, len(content)), size)
+            for texts in line_ranges.range_lines(file.name, begin, min(begin + size, len(content)), len(content), None)
+            for text in texts
+        ]
+    want = []
+    for line in content.removeprefix(b"\xef\xbb\xbf").splitlines():
+        try:
+            want.append(line.decode())
+        except UnicodeDecodeError:
+            pass
+    # bytes.splitlines also splits at nothing but line feeds and carriage returns.
+    assert found == want
+
+
+def test_ranges_smaller_than_lines_and_files_in_parts(spark, tmp_path):
+    folder = tmp_path / "record=9"
+    folder.mkdir()
+    (folder / "part-00000-x.txt").write_bytes(b"0\r\n1\r2\n\n4")
+    (folder / "part-00001-x.txt").write_bytes(b"")
+    (folder / "part-00002-x.txt").write_bytes(b"5\n" + b"6" * 50 + b"\n7\n")
+    files = signal_files.list_files(spark, str(tmp_path))
+    for size in (1, 3, 1000):
+        rows = signal_files.read_ranges(signal_files.plan_ranges(files, size)).orderBy("idx").collect()
+        assert [(r.record, r.idx, r.text) for r in rows] == [
+            ("9", i, t) for i, t in enumerate(["0", "1", "2", "", "4", "5", "6" * 50, "7"])
+        ]
 
 
 def test_written_signals_read_back_in_order(spark, tmp_path):
