@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import beatline
-from beatline.runtime import BROADCAST_ROWS, scratch_path
+from beatline.runtime import BROADCAST_ROWS, ship
 
 #: Fixed value: a word is a run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,27 +20,6 @@ UNICODE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 SLICE_BYTES = 4 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the package to Python workers, which need not have it installed; once per session.
-
-    The archive lies in the shared scratch folder, where any executor finds it.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_beatline_shipped", False):
-        return
-    root, buffer = Path(beatline.__file__).parent, io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
-        for file in sorted(root.rglob("*.py")):
-            archive.write(file, Path("beatline") / file.relative_to(root))
-    path = f"{scratch_path(spark, 'beatline')}.zip"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target)
-    stream.write(bytearray(buffer.getvalue()))
-    stream.close()
-    context.addPyFile(path)
-    context._beatline_shipped = True
-
-
 def prepared(df: DataFrame, carry: bool = False, **columns: str) -> DataFrame:
     """The input columns under the given names, which no other input column can clash with.
 
