@@ -13,6 +13,13 @@ SAMPLES = T.StructType([
 # A topic record: the CSV message "signame,HH:MM:SS.mmm,value" as bytes.
 MESSAGES = T.StructType([T.StructField("value", T.BinaryType(), True)])
 
+# A message that is no sample, with its place in the topic and what is wrong.
+REFUSED_MESSAGES = T.StructType([
+    T.StructField("message", T.BinaryType(), True),
+    T.StructField("offset", T.LongType(), True),
+    T.StructField("reason", T.StringType(), True),
+])
+
 # The stored table of abnormal beats.
 SIGNAL_SAMPLES = T.StructType([
     T.StructField("id", T.LongType(), False),

@@ -62,20 +62,23 @@ def source_stream(
     return reader.load(path) if path else reader.load()
 
 
-def _fields(value: str) -> Column:
-    return F.split(F.col(value).cast("string"), ",")
+def _once(*columns: Column) -> Column:
+    """Columns that are worked out once.
+
+    The one-row generator fixes them; the optimizer would copy plain expressions
+    into every later use and every filter above them.
+    """
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def _sample(messages: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
-    parts = _fields(value)
-    number = F.trim(F.get(parts, F.lit(2))).try_cast("double")
-    return messages.select(
-        F.get(parts, F.lit(0)).alias("signame"),
-        F.get(parts, F.lit(1)).alias("time"),
-        # NaN would order above every peak; it is not a sample.
-        F.when(~F.isnan(number), number).alias("value"),
-        F.col(value).alias("message"),
-        *keep,
+    """(signame, time, value, message, *keep); a value that is no number is null, and so is NaN, which would order above every peak."""
+    text = F.col(value).cast("string")
+    cut = messages.select(*keep, F.col(value).alias("message"), _once(F.split(text, ",").alias("__parts")))
+    part = [F.get("__parts", F.lit(i)) for i in range(3)]
+    number = F.nanvl(F.trim(part[2]).try_cast("double"), F.lit(None).cast("double"))
+    return cut.select(
+        _once(part[0].alias("signame"), part[1].alias("time"), number.alias("value")), "message", *keep
     )
 
 
@@ -107,6 +110,20 @@ def parse_sample_quarantine(
     return good, bad
 
 
+def judge_messages(
+    messages: DataFrame, date: str | Column, value: str = "value", keep: tuple[str, ...] = ("offset",), lenient: bool = False
+) -> DataFrame:
+    """Every message as (signame, time, value, ts, message, *keep, reason), read once.
+
+    ``reason`` is null for a sample, else what is wrong with the message: "no
+    value" (fewer than three fields, no number, NaN or no message at all) or "bad
+    time of day". ``date`` and ``lenient`` are those of ``event_time``.
+    """
+    timed = event_time(_sample(messages, value, keep), date, lenient, on_error="null")
+    reason = F.when(F.col("value").isNull(), "no value").when(F.col("ts").isNull(), "bad time of day")
+    return timed.select("signame", "time", "value", "ts", "message", *keep, reason.alias("reason"))
+
+
 def event_time(
     samples: DataFrame, date: str | Column, lenient: bool = False, on_error: str = "fail", time: str = "time"
 ) -> DataFrame:
@@ -134,8 +151,9 @@ def event_time(
     zero = F.lit(0)
     day = F.lit(date) if isinstance(date, str) else date
     ts = day.cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    # A number too long to be one leaves ``ts`` null as well.
+    others = [c for c in samples.columns if c != "ts"]
+    stamped = samples.select(*others, _once(F.when(good, ts).alias("ts")))
     if on_error == "fail":
-        # A number too long to be one fails as well.
-        samples = samples.where(_or_fail(good & millis.isNotNull(), "bad time of day: ", text))
-        return samples.withColumn("ts", ts)
-    return samples.withColumn("ts", F.when(good, ts))
+        stamped = stamped.where(_or_fail(F.col("ts").isNotNull(), "bad time of day: ", text))
+    return stamped

@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from beatline.operators.halo import join_per_group
 from beatline.operators.indexing import dense_index
 from beatline.operators.windows import SIZE, SLIDE, count_window_arrays
-from beatline.runtime import TASK_ROWS, group_load, remove
+from beatline.runtime import TASK_ROWS, group_load
+from beatline.streaming.folders import COMPACT, BatchFolders
 
 # Times are kept as microseconds, which are cheaper to store than datetimes.
 STATE = "n bigint, times array<bigint>, ecg array<double>"
@@ -74,19 +75,12 @@ def stateful_windows(samples: DataFrame, size: int = SIZE, slide: int = SLIDE, k
     )
 
 
-# Batches between two full copies of the tails of all keys.
-COMPACT = 20
-
-
 class CarryWindows:
     """Firings of one micro-batch, continuing from the batches before it.
 
     A batch writes the samples of the keys it has news of, each with the tail it
-    started from, to ``<path>/batch=<id>``; keys without news cost nothing. Every
-    ``compact`` batches the tails of all keys are gathered in ``<path>/all=<id>``,
-    so a batch looks through one such copy and the few batches since. Folders
-    before the last two copies are removed. A retried batch reads what it read
-    before and replaces its own folders, so replays do not change the result.
+    started from; keys without news cost nothing. A retried batch reads what it
+    read before and replaces its own folder, so replays do not change the result.
 
     Batches count 0, 1, 2, …; within a batch and a key, samples are in (ts, tie)
     order. A null key is a key like any other.
@@ -96,12 +90,9 @@ class CarryWindows:
         self, spark: SparkSession, path: str, size: int = SIZE, slide: int = SLIDE,
         key: str = "signame", task_rows: int = TASK_ROWS, compact: int = COMPACT,
     ):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.size, self.slide, self.key, self.task_rows, self.compact = size, slide, key, task_rows, compact
-
-    def _read(self, *folders: str) -> DataFrame:
+        self.size, self.slide, self.key, self.task_rows = size, slide, key, task_rows
         schema = T.StructType([
-            T.StructField(self.key, T.StringType()),
+            T.StructField(key, T.StringType()),
             T.StructField("idx", T.LongType()),
             T.StructField("ts", T.TimestampNTZType()),
             T.StructField("value", T.DoubleType()),
@@ -109,42 +100,26 @@ class CarryWindows:
             T.StructField("tail", T.BooleanType()),
             T.StructField("at", T.LongType()),
         ])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
-
-    def _since(self, batch: int, first: int) -> list[str]:
-        """The folders that hold every tail before ``batch``, from the copy made at ``first``."""
-        return [f"all={first}"] * (first > 0) + [f"batch={i}" for i in range(first, batch)]
+        self.folders = BatchFolders(spark, path, schema, compact)
 
     def _same_key(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         """Join on the key, null included; ``right`` loses its key column."""
         other = right.withColumnRenamed(self.key, "__key")
         return left.join(other, F.col(self.key).eqNullSafe(F.col("__key")), how).drop("__key")
 
-    def _newest(self, tails: DataFrame) -> DataFrame:
+    def _newest(self, rows: DataFrame) -> DataFrame:
         """Each key's tail of the last batch that had news of it."""
+        tails = rows.where("tail")
         last = tails.groupBy(self.key).agg(F.max("at").alias("__at"))
         return self._same_key(tails, last, "inner").where("at = __at").drop("__at")
 
-    def _gather(self, batch: int) -> None:
-        before = self._read(*self._since(batch, batch - self.compact)).where("tail")
-        self._newest(before).write.mode("overwrite").parquet(f"{self.path}/all={batch}")
-        oldest = batch - 2 * self.compact
-        for folder in [f"all={oldest}", *[f"batch={i}" for i in range(max(0, oldest), oldest + self.compact)]]:
-            if oldest >= 0:
-                remove(self.spark, f"{self.path}/{folder}")
-
     def next(self, samples: DataFrame, batch: int) -> DataFrame:
         """The firings that ``samples``, micro-batch ``batch``, bring about."""
         key = self.key
-        first = batch // self.compact * self.compact
-        if batch and batch == first:
-            self._gather(batch)
         load = group_load(samples, [key])
         counts = samples.groupBy(key).agg((F.count("*") - 1).alias("__last"))
         asked = counts.select(key)
-        known = self._read(*self._since(batch, first)).where("tail")
+        known = self.folders.before(batch, self._newest).where("tail")
         tails = self._newest(self._same_key(known, asked, "left_semi")).select(key, "idx", "ts", "value")
         arrived = dense_index(
             samples.select(key, "ts", "tie", "value"), [key], ["ts", "tie"], "__i", self.task_rows, load
@@ -168,9 +143,7 @@ class CarryWindows:
             )
             for rows, new in ((old, False), (fresh, True))
         ]
-        parts[0].unionByName(parts[1]).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-
-        held = self._read(f"batch={batch}").withColumn("stamp", F.struct("ts", "fresh"))
+        held = self.folders.write(parts[0].unionByName(parts[1]), batch).withColumn("stamp", F.struct("ts", "fresh"))
         windows = count_window_arrays(held, self.size, self.slide, key, time="stamp", idx="idx")
         # A firing whose last sample is old has happened already.
         return windows.where(F.element_at("times", -1)["fresh"]).withColumn("times", F.col("times.ts"))

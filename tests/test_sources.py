@@ -19,6 +19,17 @@ def wire(spark, *lines):
     return spark.createDataFrame([(None if m is None else bytearray(m.encode()),) for m in lines], MESSAGES)
 
 
+def test_messages_are_worked_out_once(spark):
+    """However often the parsed columns are used, a message is split once and its time matched once."""
+    parsed = messages.parse_sample(wire(spark, "a,10:00:00.000,1.5"))
+    timed = messages.event_time(parsed, "2024-01-01").where("value > 0 and ts > '2020-01-01'")
+    plan = timed.select("ts", "value", F.col("value") * 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("RLIKE") == 1 and plan.count("try_cast(trim(") == 1
+    judged = messages.judge_messages(wire(spark, "a,10:00:00.000,1.5"), "2024-01-01", keep=())
+    plan = judged.where("reason is null")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("RLIKE") == 1
+
+
 def test_signal_file(spark, tmp_path):
     (tmp_path / "100_signals.txt").write_text("".join(f"{i / 8:.32f}\n" for i in range(20)))
     (tmp_path / "10+1 b_signals.txt").write_text("1.5\nbad\n\n2.5")
