@@ -125,6 +125,7 @@ def detect_messages(
     checkpoint: str,
     date: str | Column | None = None,
     offset: str = "offset",
+    keep: tuple[str, ...] = (),
     lenient: bool = False,
     **kw,
 ) -> StreamingQuery:
@@ -134,10 +135,11 @@ def detect_messages(
     ``detect_stream``, whose further arguments are taken; its other messages are
     stored at ``refused`` with offset and reason, once per batch, for
     ``read_refused_messages``. ``date`` is the day of the times, by default the
-    current one. Samples of equal time are in the order of ``offset``.
+    current one; columns it is made of are named in ``keep``. Samples of equal
+    time are in the order of ``offset``.
     """
     day = F.current_date() if date is None else date
-    judged = judge_messages(messages, day, keep=(offset,), lenient=lenient).withColumnRenamed(offset, "tie")
+    judged = judge_messages(messages, day, keep=(offset, *keep), lenient=lenient).withColumnRenamed(offset, "tie")
 
     def apart(rows: DataFrame, writer: str, batch: int) -> DataFrame:
         bad = rows.where("reason is not null")

@@ -129,6 +129,27 @@ WHERE EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.event_typ
 MESSAGE = f"event_type || ',' || {clock('ts')} || ',' || CAST(value AS VARCHAR)"
 
 
+# Ends of the first two thirds of the events' span, in whole milliseconds.
+THIRDS = """thirds AS (
+  SELECT (lo + (hi - lo) // 3) // 1000 * 1000 AS one, hi FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events))"""
+
+# Events over a day behind the newest one when they arrive.
+BEHIND = "epoch_us(ts) < one - 86400000000 AND event_id % 97 = 0"
+
+# What a topic's events are as messages, and what is wrong with them.
+TOPIC = f"""m AS (
+  SELECT event_id, CASE WHEN event_id % 50 = 2 THEN event_type ELSE event_type || ',' ||
+      CASE WHEN event_id % 50 = 1 THEN '25:61' ELSE {clock('ts')} END || ',' ||
+      CASE WHEN event_id % 50 = 0 THEN '-' ELSE CAST(value AS VARCHAR) END END AS message,
+    CASE WHEN event_id % 50 IN (0, 2) THEN 'no value' WHEN event_id % 50 = 1 THEN 'bad time of day' END AS reason
+  FROM events)"""
+
+
+def _over(rows: str, chain: str) -> str:
+    """``chain`` over other events, given as "…, events AS (…)"."""
+    return f"WITH {rows}, {chain.removeprefix('WITH ')}"
+
+
 def all_sql() -> dict[str, str]:
     chain, wide = _chain(), _chain(**WIDE)
     hold = f"SELECT vec_id, pos, {steady('av')} AS av FROM r"
@@ -192,6 +213,16 @@ FROM events WHERE event_type = 'error'""",
         + f"SELECT a.signame, {stamp('a.time')} AS time, w.pos - a.start AS x, w.value AS y, abnormal FROM a {SLICES}",
         "detect_stream": chain + STORED,
         "detect_stream_carry": chain + STORED,
+        "detect_stream_dedup": chain
+        + f"SELECT * FROM ({STORED} QUALIFY row_number() OVER (PARTITION BY signame, abs_start, abs_end ORDER BY k) = 1)",
+        "detect_stream_ordered": _over(
+            f"{THIRDS}, events AS (SELECT e.* FROM events e, thirds WHERE NOT ({BEHIND}) AND epoch_us(ts) <= hi - 86400000000)", chain
+        ) + STORED,
+        "late_samples": f"WITH {THIRDS} SELECT event_type AS signame, {stamp('ts')} AS ts, event_id AS tie, value FROM events, thirds WHERE {BEHIND}",
+        "detect_messages": _over(
+            "events AS (SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts) FROM events WHERE event_id % 50 > 2)", chain
+        ) + STORED,
+        "refused_messages": f"WITH {TOPIC} SELECT event_id AS \"offset\", message, reason FROM m WHERE reason IS NOT NULL",
         # sinks
         "sink_signal_samples": chain + STORED,
         "sink_append_twice": chain

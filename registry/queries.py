@@ -15,6 +15,7 @@ from beatline.plans import detection, serving
 from beatline.runtime import scratch_path
 from beatline.sinks import signal_table
 from beatline.sources import messages, metadata, signal_files
+from beatline.streaming.detection import read_late, read_refused_messages
 from registry import streams
 from registry.tables import (
     LONG,
@@ -319,6 +320,51 @@ def detect_stream_carry(spark, sf):
     return _stored(streams.anomalies_of(samples(spark, sf), "carry", **LONG))
 
 
+def detect_stream_dedup(spark, sf):
+    """Three runs of a stream; a beat that firings of two of them hold is reported once."""
+    rows = samples(spark, sf)
+    return _stored(streams.anomalies_of(rows, "carry", parts=streams.by_time(rows, 3), dedup=True, **LONG))
+
+
+def _late_stream(spark, sf):
+    """Three runs with samples out of order, a day of delay, and some samples far behind."""
+    rows, late = samples(spark, sf), scratch_path(spark, "late")
+    parts = streams.out_of_order(rows, 86_400_000_000)
+    return streams.anomalies_of(rows, "carry", parts=parts, late=late, delay="1 day", **LONG), late
+
+
+def detect_stream_ordered(spark, sf):
+    return _stored(_late_stream(spark, sf)[0])
+
+
+def late_samples(spark, sf):
+    late = read_late(spark, _late_stream(spark, sf)[1])
+    return late.select("signame", stamp("ts").alias("ts"), "tie", "value")
+
+
+def _topic(spark, sf):
+    """Messages with their offset and day; of every 50, one has no number, one no time of day and one too few fields."""
+    place = F.col("tie") % 50
+    time = F.when(place == 1, "25:61").otherwise(clock_text(F.col("ts")))
+    number = F.when(place == 0, "-").otherwise(F.col("value").cast("string"))
+    text = F.when(place == 2, F.col("signame")).otherwise(F.concat_ws(",", "signame", time, number))
+    return samples(spark, sf).select(
+        text.cast("binary").alias("value"), F.col("tie").alias("offset"), F.to_date("ts").alias("day"), "ts"
+    )
+
+
+def detect_messages(spark, sf):
+    table = scratch_path(spark, "table")
+    streams.messages_of(_topic(spark, sf), table, scratch_path(spark, "refused"), **LONG)
+    return _stored(signal_table.read_signal_samples(spark, table))
+
+
+def refused_messages(spark, sf):
+    refused = scratch_path(spark, "refused")
+    streams.messages_of(_topic(spark, sf), scratch_path(spark, "table"), refused, **LONG)
+    return read_refused_messages(spark, refused).select("offset", F.col("message").cast("string").alias("message"), "reason")
+
+
 # --- sinks -------------------------------------------------------------------
 
 

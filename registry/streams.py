@@ -18,11 +18,11 @@ from beatline.streaming.detection import detect_messages, detect_stream, windows
 
 
 def _bounds(samples: DataFrame, parts: int) -> list[Column]:
-    """Times that cut the samples' span into equal parts."""
-    first, last = samples.agg(F.min(F.unix_micros(F.to_timestamp("ts"))), F.max(F.unix_micros(F.to_timestamp("ts")))).first()
+    """Whole milliseconds that cut the samples' span into equal parts, in microseconds."""
+    first, last = samples.agg(F.min(_micros()), F.max(_micros())).first()
     if first is None:
         return []
-    return [F.lit(first + (last - first) * k // parts) for k in range(1, parts)]
+    return [F.lit((first + (last - first) * k // parts) // 1000 * 1000) for k in range(1, parts)]
 
 
 def _micros(ts: str = "ts") -> Column:
@@ -79,8 +79,11 @@ def anomalies_of(
     return read_signal_samples(spark, table)
 
 
-def messages_of(sent: DataFrame, table: str, refused: str, date: Column, **kw) -> None:
-    """Detection on a topic of messages (value, offset), which arrive in three runs of the stream."""
+def messages_of(sent: DataFrame, table: str, refused: str, **kw) -> None:
+    """Detection on a topic of messages (value, offset, day), in two runs of the stream."""
     check = scratch_path(sent.sparkSession, "check")
-    parts = [sent.where(F.col("offset") % 3 == k) for k in range(3)] if kw.pop("mixed", False) else [sent]
-    in_slices(sent, lambda stream: detect_messages(stream, table, refused, check, date, **kw), parts)
+
+    def run(stream: DataFrame) -> object:
+        return detect_messages(stream, table, refused, check, F.col("day"), keep=("day",), **kw)
+
+    in_slices(sent, run, by_time(sent))
