@@ -80,6 +80,12 @@ def ship(spark: SparkSession) -> None:
     context._beatline_shipped = True
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on whatever file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
 @dataclass(frozen=True)
 class GroupLoad:
     """Row counts that decide how a grouped operator is laid out."""

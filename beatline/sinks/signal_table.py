@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.operators.indexing import dense_index
-from beatline.runtime import store
+from beatline.runtime import exists, store
 from beatline.schemas import SIGNAL_SAMPLES
 
 # Declared lengths of the table's text columns.
@@ -108,7 +108,44 @@ def _few_files(dated: DataFrame) -> DataFrame:
     return dated.repartition("refused", "date", F.pmod("id", F.lit(tasks)))
 
 
-def sink_signal_samples(rows: DataFrame, path: str, writer: str | None = None, batch: int = 0) -> str:
+#: Why a row is refused where (signame, time) must be unique.
+TAKEN, KNOWN = "signame and time repeat an earlier row of the batch", "signame and time are stored already"
+
+# Dates of a batch that are named one by one in a lookup; more are looked up as one span.
+NAMED_DATES = 1_000
+
+
+def stored_keys(spark: SparkSession, path: str, dates: DataFrame, writer: str, batch: int) -> DataFrame:
+    """(signame, time) of the table's rows on ``dates`` (date), but those of the writer's own batch.
+
+    Only the folders of those dates are read, and of their files two columns.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], "signame string, time timestamp_ntz")
+    named = [r.date for r in dates.where("date is not null").distinct().limit(NAMED_DATES + 1).collect()]
+    if len(named) <= NAMED_DATES:
+        asked = F.col("date").isin(named)
+    else:
+        first, last = dates.agg(F.min("date"), F.max("date")).first()
+        asked = F.col("date").between(first, last)
+    other = (F.col("writer") != writer) | (F.col("batch") != batch)
+    return _read(spark, path).where(~F.col("refused") & asked & other).select("signame", "time")
+
+
+def _refuse_repeats(rows: DataFrame, path: str, writer: str, batch: int, order: tuple[str, ...]) -> DataFrame:
+    """Give rows whose (signame, time) the batch or the table has already a ``reason``; rows refused before count for nothing."""
+    same = Window.partitionBy("signame", "time", F.col("reason").isNull()).orderBy(*order)
+    ranked = rows.withColumn("__rank", F.row_number().over(same))
+    known = stored_keys(rows.sparkSession, path, rows.select("date"), writer, batch).distinct()
+    known = known.select(F.col("signame").alias("__s"), F.col("time").alias("__t"))
+    met = ranked.join(known, (F.col("signame") == F.col("__s")) & (F.col("time") == F.col("__t")), "left")
+    reason = F.coalesce("reason", F.when(F.col("__s").isNotNull(), KNOWN), F.when(F.col("__rank") > 1, TAKEN))
+    return met.withColumn("reason", reason).withColumn("refused", F.col("reason").isNotNull()).drop("__rank", "__s", "__t")
+
+
+def sink_signal_samples(
+    rows: DataFrame, path: str, writer: str | None = None, batch: int = 0, unique: tuple[str, ...] | None = None
+) -> str:
     """Append rows to the table at ``path`` and return the writer's name.
 
     A writer's batch owns the folder ``writer=<writer>/batch=<batch>`` and
@@ -117,20 +154,33 @@ def sink_signal_samples(rows: DataFrame, path: str, writer: str | None = None, b
     Rows without an ``id`` get a hashed one. Rows that break a constraint are
     kept apart with the reason, for ``read_refused``. Each date's rows are
     sorted by signal and time, so readers skip what they do not ask for.
+
+    ``unique`` makes (signame, time) a key of the table: a row whose key is
+    stored already is refused, and of a batch's rows of one key the first in the
+    order of these columns stays. The lookup reads the batch's dates only.
+    Appends of several writers that must not repeat each other's keys have to
+    follow one another.
     """
     writer = writer or uuid.uuid4().hex
     if "id" not in rows.columns:
         rows = stable_id(rows, writer=writer)
-    dated = rows.select(*SIGNAL_SAMPLES.fieldNames()).withColumns(
-        {"reason": _refusal(), "refused": _refusal().isNotNull(), "date": F.to_date("time")}
-    )
-    (
-        _few_files(dated)
-        .sortWithinPartitions("refused", "date", "signame", "time")
-        .write.mode("overwrite")
-        .partitionBy("refused", "date")
-        .parquet(f"{path.rstrip('/')}/writer={writer}/batch={batch}")
-    )
+    names = SIGNAL_SAMPLES.fieldNames()
+    dated = rows.withColumns({"reason": _refusal(), "refused": _refusal().isNotNull(), "date": F.to_date("time")})
+    if unique:
+        # Read twice: for its dates, and to be written.
+        dated = dated.select(*names, *[c for c in unique if c not in names], "reason", "refused", "date").persist()
+    try:
+        judged = _refuse_repeats(dated, path, writer, batch, unique) if unique else dated
+        (
+            _few_files(judged.select(*names, "reason", "refused", "date"))
+            .sortWithinPartitions("refused", "date", "signame", "time")
+            .write.mode("overwrite")
+            .partitionBy("refused", "date")
+            .parquet(f"{path.rstrip('/')}/writer={writer}/batch={batch}")
+        )
+    finally:
+        if unique:
+            dated.unpersist()
     return writer
 
 

@@ -227,6 +227,11 @@ FROM events WHERE event_type = 'error'""",
         "sink_signal_samples": chain + STORED,
         "sink_append_twice": chain
         + f"SELECT o.*, (SELECT 4 * count(*) FROM a) AS ids FROM ({STORED}) AS o, range(4)",
+        "sink_unique_append": chain
+        + f""", u AS (
+  SELECT 0 AS writer, * FROM a UNION ALL SELECT 1, * REPLACE (peak_ts AS time) FROM a)
+SELECT signame, {stamp('u.time')} AS time, len AS n, opening, closing, abnormal FROM u
+QUALIFY row_number() OVER (PARTITION BY signame, u.time ORDER BY writer, k, seg) = 1""",
         "parse_array_text": """SELECT event_id, CAST(0 AS BIGINT) AS x, value AS y FROM events
 UNION ALL SELECT event_id, 1, CAST(user_id AS DOUBLE) FROM events""",
         "assign_id": wide + f", {IDS} SELECT id, signame, k, seg FROM i",

@@ -388,6 +388,16 @@ def sink_append_twice(spark, sf):
     )
 
 
+def sink_unique_append(spark, sf):
+    """Two writers whose beats are stamped in two ways, on a table where (signame, time) is unique; one repeats its batch."""
+    path = scratch_path(spark, "table")
+    for mode, times in (("reference", 1), ("peak", 2)):
+        found = _anomalies(spark, sf, time_mode=mode)
+        for _ in range(times):
+            signal_table.sink_signal_samples(found, path, writer=mode, unique=("k", "seg"))
+    return _stored(signal_table.read_signal_samples(spark, path))
+
+
 def parse_array_text(spark, sf):
     text = F.concat(F.lit("["), F.col("value").cast("string"), F.lit(", "), F.col("user_id").cast("string"), F.lit("]"))
     return events(spark, sf).select("event_id", F.posexplode(arrays.parse_array_text(text)).alias("x", "y")).withColumn(

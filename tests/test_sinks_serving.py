@@ -148,3 +148,41 @@ def test_signal_and_trace(table):
 def test_top_k_plans_do_not_sort_everything(table):
     for df in (serving.latest_events(table, "101"), serving.recent_events(table)):
         assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unique_rows_over_appends(spark, tmp_path):
+    """Repeats within a batch and of stored rows are refused with their reason, whoever wrote them; replays change nothing."""
+    table = str(tmp_path / "t")
+    day = [dt.datetime(2024, 1, d, 12) for d in (1, 2, 3)]
+    schema = "id long, signame string, time timestamp_ntz, ecg array<double>, abnormal string, k long"
+
+    def rows(*given):
+        return spark.createDataFrame([(i, s, t, [float(i)], "TRUE", k) for i, s, t, k in given], schema)
+
+    first = rows((1, "a", day[0], 2), (2, "a", day[0], 1), (3, "a", day[1], 1), (4, "b", day[0], 1), (5, None, day[0], 0))
+    second = rows((6, "a", day[1], 1), (7, "a", day[2], 1), (8, "b", day[0], 5), (9, None, day[0], 0))
+    for given, writer in ((first, "one"), (second, "two"), (second, "two"), (first, "one")):
+        signal_table.sink_signal_samples(given, table, writer, unique=("k",))
+        if writer == "two":
+            assert sorted(r.id for r in signal_table.read_signal_samples(spark, table).collect()) == [2, 3, 4, 7]
+    assert sorted(r.id for r in signal_table.read_signal_samples(spark, table).collect()) == [2, 3, 4, 7]
+    refused = {r.id: r.reason for r in signal_table.read_refused(spark, table).collect()}
+    assert refused == {
+        1: signal_table.TAKEN, 5: "signame is null", 6: signal_table.KNOWN, 8: signal_table.KNOWN, 9: "signame is null"
+    }
+
+
+def test_lookup_reads_the_dates_of_the_batch(spark, tmp_path):
+    table = str(tmp_path / "t")
+    days = spark.range(400).select(
+        "id", F.lit("a").alias("signame"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("time"),
+        F.array(F.lit(1.0)).alias("ecg"), F.lit("TRUE").alias("abnormal"),
+    )
+    signal_table.sink_signal_samples(days, table, "old")
+    asked = days.where("id in (3, 200)").select(F.to_date("time").alias("date"))
+    keys = signal_table.stored_keys(spark, table, asked, "new", 0)
+    assert keys.count() == 2
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1] and "ReadSchema: struct<signame:string,time:timestamp_ntz>" in plan
+    read = len(keys.select(F.input_file_name()).distinct().collect())
+    assert read == 2 and len(list((tmp_path / "t").rglob("*.parquet"))) >= 400
