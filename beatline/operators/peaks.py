@@ -6,7 +6,7 @@ Long groups are cut into chunks with margins, so no group is tied to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.operators.halo import CHUNK, only_own, with_halo
@@ -16,14 +16,9 @@ from beatline.runtime import store
 PRE = 3
 POST = 1
 
-# Samples folded by one array pass of the decay recurrence. A pass copies the
-# levels it has so far with every sample, so it is kept short.
+# Rows of one chunk of the decay recurrence.
 FOLD = 64
 
-# Levels of chunks of chunks. The top level of a group of n samples holds
-# n / FOLD^(LEVELS + 1) effects in one array.
-LEVELS = 2
-
 # Offsets one widening step may combine; a step widens the span by one more.
 _STEPS = 3
 
@@ -199,29 +194,12 @@ def top_n_peaks(
 # --- decay with hold ---------------------------------------------------------
 #
 # One sample x turns the running level a into max(x, d·a + (1-d)·x). Such steps
-# compose to a -> max(m, p·a + q), so a chunk's whole effect is three numbers and
-# long groups are handled as chunks, chunks of chunks, and so on.
-
-
-def _then(first: Column, m: Column, p: Column, q: Column) -> tuple[Column, Column, Column]:
-    """The effect of ``first`` followed by a -> max(m, p·a + q)."""
-    return (
-        F.greatest(m, p * first["m"] + q),
-        p * first["p"],
-        p * first["q"] + q,
-    )
-
-
-def _effect(m: Column, p: Column, q: Column) -> Column:
-    return F.struct(m.alias("m"), p.alias("p"), q.alias("q"))
-
+# compose to a -> max(m, p·a + q), so the effect of any run of samples is three
+# numbers. Runs are joined by doubling: after k rounds a row has the effect of
+# the 2^k rows up to it, of its own chunk. Chunks' effects are rows in turn.
 
 # No effect at all. The finite floor keeps 0 · m defined.
-_LOWEST = -1.7976931348623157e308
-
-
-def _identity() -> Column:
-    return _effect(F.lit(_LOWEST), F.lit(1.0), F.lit(0.0))
+_NONE = {"__m": -1.7976931348623157e308, "__p": 1.0, "__q": 0.0}
 
 
 def exp_decay_hold(
@@ -229,89 +207,62 @@ def exp_decay_hold(
 ) -> DataFrame:
     """Add ``av``, a level that jumps up to the value and otherwise decays towards it.
 
-    av starts from the group's first value; av = max(x, d·av + (1-d)·x). The
-    same arithmetic is used whatever the size of a group or of the table.
+    av starts from the group's first value; av = max(x, d·av + (1-d)·x). ``pos``
+    counts 0, 1, 2, … in a group. Which effects are joined with which depends on
+    a row's position and ``fold`` alone, so a group gives the same bits whatever
+    other groups there are.
+
+    Groups of up to ``fold`` rows take one shuffle and one sort; longer ones one
+    more for every further level of chunks, of a ``fold``-th of the rows each.
     """
     if not 0 <= decay <= 1:
         raise ValueError("decay lies between 0 and 1")
+    if fold < 2:
+        raise ValueError("a chunk has two rows at least")
     if decay == 0:
         return df.withColumn("av", F.col(value))
-    d, e = F.lit(float(decay)), F.lit(1 - float(decay))
-    columns = [c for c in df.columns if c not in group]
-    chunk = F.floor(F.col(pos) / fold).alias("__c")
-    # One chunk's rows are folded together; a chunk holds at most `fold` of them.
-    rows = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), *columns).alias("__r"))
-    step = lambda acc, s: _effect(*_then(acc, s["x"], d, e * s["x"]))
-    # The first chunk starts from its own first value, whatever came before.
-    seed = _effect(F.lit(_LOWEST), F.lit(0.0), F.col("__s")[0]["x"])
-    start = F.when(F.col("__c") == 0, seed).otherwise(_identity())
-    narrow = df.select(*group, chunk, F.struct(F.col(pos).alias("__pos"), F.col(value).alias("x")).alias("__r"))
-    effects = _packed(narrow, group).select(
-        *group, F.col("__c").alias("__i"), F.aggregate("__s", start, step).alias("__e")
-    )
-    # Every level above reads these few rows again, so they are written once.
-    carried = _effects_before(store(effects, "effects"), group, LEVELS, fold).select(
-        *group,
-        F.col("__i").alias("__c"),
-        # Chunk 0 is included, so what is carried no longer depends on a level.
-        F.greatest(F.col("__e.m"), F.col("__e.q")).alias("__carry"),
-    )
-    # The carried levels ride along in the grouping of the rows: no join.
-    both = rows.unionByName(carried, allowMissingColumns=True)
-    first = F.when(F.col("__c") == 0, F.col("__s")[0][value]).otherwise(F.col("__carry"))
-    chunks = _packed(both, group, F.max("__carry").alias("__carry")).withColumn("__a", first)
-
-    def level(acc: Column, s: Column) -> Column:
-        now = F.greatest(s[value], d * acc["a"] + e * s[value])
-        return F.struct(now.alias("a"), F.concat(acc["out"], F.array(now)).alias("out"))
-
-    begin = F.struct(F.col("__a").alias("a"), F.array().cast("array<double>").alias("out"))
-    levels = F.aggregate("__s", begin, level, lambda acc: acc["out"])
-    return (
-        chunks.withColumn("__z", F.explode(F.arrays_zip(F.col("__s").alias("s"), levels.alias("av"))))
-        .select(*group, *[F.col(f"__z.s.{c}").alias(c) for c in columns], F.col("__z.av").alias("av"))
-        .select(*df.columns, "av")
-    )
-
-
-def _packed(rows: DataFrame, group: list[str], *more: Column) -> DataFrame:
-    """A chunk's rows ``__r`` as one array ``__s`` in order; null rows are left out."""
-    return rows.groupBy(*group, "__c").agg(F.sort_array(F.collect_list("__r")).alias("__s"), *more)
-
-
-def _effects_before(effects: DataFrame, group: list[str], levels: int, fold: int) -> DataFrame:
-    """Combine, for every ``__i`` of a group, the effects of all smaller ones.
-
-    ``fold`` effects are combined in one array, after what comes before the
-    array by a coarser level; the top level has one array per group.
-    """
-    up = F.floor(F.col("__i") / fold) if levels else F.lit(0).cast("long")
-    packed = effects.groupBy(*group, up.alias("__up")).agg(
-        F.sort_array(F.collect_list(F.struct("__i", "__e"))).alias("__s")
-    )
-
-    def running(start: Column) -> Column:
-        def step(acc: Column, s: Column) -> Column:
-            now = _effect(*_then(acc["a"], s["__e"]["m"], s["__e"]["p"], s["__e"]["q"]))
-            here = F.struct(s["__i"].alias("__i"), acc["a"].alias("__e"))
-            return F.struct(now.alias("a"), F.concat(acc["out"], F.array(here)).alias("out"))
-
-        out = F.array().cast("array<struct<__i:bigint,__e:struct<m:double,p:double,q:double>>>")
-        return F.aggregate("__s", F.struct(start.alias("a"), out.alias("out")), step)
-
+    d, e, x = F.lit(float(decay)), F.lit(1 - float(decay)), F.col(value)
+    first = F.col(pos) == 0
+    # The first sample starts from itself, whatever came before.
+    rows = df.withColumns({
+        "__i": F.col(pos).cast("long"),
+        "__m": x,
+        "__p": F.when(first, F.lit(0.0)).otherwise(d),
+        "__q": F.when(first, d * x + e * x).otherwise(e * x),
+    })
+    last = df.agg(F.max(pos)).first()[0] or 0
+    levels = 0
+    while last >= fold ** (levels + 1):
+        levels += 1
+    return _levels(rows, group, fold, levels).select(*df.columns, F.col("__a").alias("av"))
+
+
+def _levels(rows: DataFrame, group: list[str], fold: int, levels: int) -> DataFrame:
+    """Add ``__a``, the level after row ``__i``, to rows with effects __m, __p, __q; ``levels`` of chunks lie above."""
+    m, p, q = F.col("__m"), F.col("__p"), F.col("__q")
+    rows = rows.withColumn("__c", F.floor(F.col("__i") / fold))
+    chunk = Window.partitionBy(*group, "__c").orderBy("__i")
+    step = 1
+    while step < fold:
+        rows = rows.withColumns({f"{c}0": F.lag(c, step, none).over(chunk) for c, none in _NONE.items()})
+        rows = rows.withColumns({
+            "__m": F.greatest(m, p * F.col("__m0") + q),
+            "__p": p * F.col("__p0"),
+            "__q": p * F.col("__q0") + q,
+        }).drop("__m0", "__p0", "__q0")
+        step *= 2
     if not levels:
-        return packed.select(*group, F.explode(running(_identity())["out"]).alias("__o")).select(
-            *group, "__o.__i", "__o.__e"
-        )
-    totals = packed.select(*group, F.col("__up").alias("__i"), running(_identity())["a"].alias("__e"))
-    above = _effects_before(totals, group, levels - 1, fold).select(
-        *[F.col(g).alias(f"__g_{g}") for g in group], F.col("__i").alias("__ui"), F.col("__e").alias("__from")
+        # All of a group is one chunk, which starts from its first sample.
+        return rows.withColumn("__a", F.greatest(m, q))
+    rows = store(rows, "effects")
+    totals = rows.groupBy(*group, F.col("__c").alias("__k")).agg(F.max_by(F.struct(*_NONE), "__i").alias("__t"))
+    totals = totals.select(*group, F.col("__k").alias("__i"), *[F.col(f"__t.{c}").alias(c) for c in _NONE])
+    carry = _levels(totals, group, fold, levels - 1).select(
+        *[F.col(g).alias(f"__g_{g}") for g in group], (F.col("__i") + 1).alias("__next"), F.col("__a").alias("__carry")
     )
-    on = F.col("__up") == F.col("__ui")
+    on = F.col("__c") == F.col("__next")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    return (
-        packed.join(above, on)
-        .select(*group, F.explode(running(F.col("__from"))["out"]).alias("__o"))
-        .select(*group, "__o.__i", "__o.__e")
-    )
+    # A first chunk meets no row and needs none.
+    into = F.coalesce(p * F.col("__carry"), F.lit(0.0)) + q
+    return rows.join(carry, on, "left").withColumn("__a", F.greatest(m, into))

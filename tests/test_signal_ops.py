@@ -74,6 +74,20 @@ def test_decay_with_negative_levels(spark):
     assert [a for _, a in by_group(df, "pos", "av")["a"]] == pytest.approx(model.hold(signals["a"], 0.9), abs=1e-12)
 
 
+def test_decay_keeps_its_bits_beside_long_groups(spark):
+    """More levels of chunks for one group change nothing for the others; no array grows."""
+    signals = {"short": [0.1 * (i % 7) - 0.3 for i in range(9)], "mid": [0.1 * (i % 5) for i in range(40)]}
+    long = {"long": [0.3 * (i % 11) for i in range(700)]}
+
+    def levels(given):
+        rows = peaks.exp_decay_hold(pos_rows(spark, given), 0.95, G, fold=8).where("g != 'long'").collect()
+        return {(r.g, r.pos): r.av for r in rows}
+
+    assert levels(signals) == levels(signals | long)
+    plan = peaks.exp_decay_hold(pos_rows(spark, signals), 0.95, G)._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "concat(" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_decayed_peaks(spark):
     signals = random_signals(60, 60, seed=12)
     df = peaks.find_peaks(pos_rows(spark, signals), 2, 0.2, G, decay=0.95)
