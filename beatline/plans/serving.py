@@ -20,9 +20,10 @@ EVENT = ("id", "signame", "time", "abnormal")
 def ecg_signal(table: DataFrame, ecg_id: int, signame: str | None = None, date: str | None = None) -> DataFrame:
     """The waveform of one abnormal beat.
 
-    Hashed ids lie anywhere in the stored table. The event it was chosen from
-    names its signal and date too: the date prunes folders, the signal the row
-    groups of their sorted files.
+    Hashed ids lie anywhere in the stored table; its files' filters of ids leave
+    the data of few files to read, though all footers. The event it was chosen
+    from names its signal and date too: the date prunes folders, the signal the
+    row groups of their sorted files.
     """
     found = table.where((F.col("id") == ecg_id) & (F.col("abnormal") == "TRUE"))
     if signame is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.operators.indexing import dense_index
-from beatline.runtime import exists, store
+from beatline.runtime import exists, remove, store
 from beatline.schemas import SIGNAL_SAMPLES
 
 # Declared lengths of the table's text columns.
@@ -19,6 +19,9 @@ FLAG_LENGTH = 5
 # Names of the interval units of ``time_chunk`` and their seconds.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
+# A lease of ids: the first one and how many, with the writer and batch that hold it.
+LEASES = "first long, n long, writer string, batch long"
+
 # Rows with waveforms that one task may sort on its own.
 TASK_BEATS = 50_000
 
@@ -34,6 +37,34 @@ def assign_id(
     return dense_index(store(rows, "unnumbered"), [], list(order), "id", task_rows).withColumn("id", F.col("id") + 1)
 
 
+def assign_next_ids(
+    rows: DataFrame, ledger: str, writer: str, batch: int = 0,
+    order: tuple[str, ...] = ("signame", "k", "seg"), task_rows: int = TASK_BEATS,
+) -> DataFrame:
+    """Add ``id`` in ``order``, counting on where the appends before left off, from 1.
+
+    A batch leases as many ids as it has rows, in a folder of its own under
+    ``ledger``. A replayed batch finds its lease and gets the same ids; it must
+    have the same number of rows. A writer's leases but the last two are removed,
+    so the ledger has two rows a writer. Appends must follow one another.
+    """
+    spark, own = rows.sparkSession, f"{ledger.rstrip('/')}/writer={writer}"
+    kept = store(rows, "unnumbered")
+    n = kept.count()
+    leases = spark.createDataFrame([], LEASES)
+    if exists(spark, ledger):
+        leases = spark.read.schema(LEASES).parquet(ledger)
+    mine = leases.where((F.col("writer") == writer) & (F.col("batch") == batch)).first()
+    if mine and mine.n != n:
+        raise ValueError(f"batch {batch} had {mine.n} rows when its ids were leased, now {n}")
+    first = mine.first if mine else leases.agg(F.max(F.col("first") + F.col("n"))).first()[0] or 1
+    if not mine:
+        spark.createDataFrame([(first, n)], "first long, n long").coalesce(1).write.mode("overwrite").parquet(f"{own}/batch={batch}")
+        if exists(spark, f"{own}/batch={batch - 2}"):
+            remove(spark, f"{own}/batch={batch - 2}")
+    return dense_index(kept, [], list(order), "id", task_rows).withColumn("id", F.col("id") + first)
+
+
 def stable_id(
     rows: DataFrame, columns: tuple[str, ...] = ("signame", "k", "seg", "time"), writer: str = ""
 ) -> DataFrame:
@@ -108,6 +139,10 @@ def _few_files(dated: DataFrame) -> DataFrame:
     return dated.repartition("refused", "date", F.pmod("id", F.lit(tasks)))
 
 
+# Each file says which ids it may hold, in as little space as its rows need, so
+# a beat asked for by its id alone is looked for in the data of few files.
+ID_FILTER = {"parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 #: Why a row is refused where (signame, time) must be unique.
 TAKEN, KNOWN = "signame and time repeat an earlier row of the batch", "signame and time are stored already"
 
@@ -153,7 +188,8 @@ def sink_signal_samples(
     rows twice. Without a name the call is a writer of its own and only adds.
     Rows without an ``id`` get a hashed one. Rows that break a constraint are
     kept apart with the reason, for ``read_refused``. Each date's rows are
-    sorted by signal and time, so readers skip what they do not ask for.
+    sorted by signal and time, and files carry a filter of their ids, so readers
+    skip what they do not ask for.
 
     ``unique`` makes (signame, time) a key of the table: a row whose key is
     stored already is refused, and of a batch's rows of one key the first in the
@@ -175,6 +211,7 @@ def sink_signal_samples(
             _few_files(judged.select(*names, "reason", "refused", "date"))
             .sortWithinPartitions("refused", "date", "signame", "time")
             .write.mode("overwrite")
+            .options(**ID_FILTER)
             .partitionBy("refused", "date")
             .parquet(f"{path.rstrip('/')}/writer={writer}/batch={batch}")
         )

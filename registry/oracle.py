@@ -235,6 +235,10 @@ QUALIFY row_number() OVER (PARTITION BY signame, u.time ORDER BY writer, k, seg)
         "parse_array_text": """SELECT event_id, CAST(0 AS BIGINT) AS x, value AS y FROM events
 UNION ALL SELECT event_id, 1, CAST(user_id AS DOUBLE) FROM events""",
         "assign_id": wide + f", {IDS} SELECT id, signame, k, seg FROM i",
+        "assign_id_appends": wide
+        + ", i AS (SELECT row_number() OVER (ORDER BY k % 3, signame, k, seg) AS id, * FROM a) SELECT id, signame, k, seg FROM i",
+        "ecg_signal_stored": chain
+        + f", {IDS} SELECT w.pos - a.start AS x, w.value AS y FROM i AS a {SLICES} WHERE a.id = (SELECT max(id) FROM i)",
         "time_chunk": wide + f", {IDS} SELECT id, {stamp("date_trunc('minute', time)")} AS chunk FROM i",
         "unique_signal_time": wide
         + f""", {IDS} SELECT id, signame, {stamp('time')} AS time FROM i

@@ -409,6 +409,24 @@ def assign_id(spark, sf):
     return signal_table.assign_id(_wide_anomalies(spark, sf)).select("id", "signame", "k", "seg")
 
 
+def assign_id_appends(spark, sf):
+    """Three appends, one of them replayed: ids count on."""
+    found, ledger = _wide_anomalies(spark, sf), scratch_path(spark, "ledger")
+    parts = [found.where(F.col("k") % 3 == i) for i in range(3)]
+    numbered = [signal_table.assign_next_ids(parts[i], ledger, "one", i) for i in (0, 1, 1, 2)]
+    return numbered[0].unionByName(numbered[2]).unionByName(numbered[3]).select("id", "signame", "k", "seg")
+
+
+def ecg_signal_stored(spark, sf):
+    """A waveform by its id alone from the stored table: the newest abnormal beat's."""
+    path = scratch_path(spark, "table")
+    found = signal_table.assign_next_ids(_anomalies(spark, sf), scratch_path(spark, "ledger"), "one")
+    signal_table.sink_signal_samples(found, path, "one")
+    table = signal_table.read_signal_samples(spark, path)
+    last = table.agg(F.max("id")).first()[0] or 0
+    return serving.ecg_signal(table, last).select(F.posexplode("ecg").alias("x", "y")).withColumn("x", F.col("x").cast("bigint"))
+
+
 def time_chunk(spark, sf):
     return signal_table.time_chunk(_table(spark, sf)).select("id", stamp("chunk").alias("chunk"))
 

@@ -186,3 +186,40 @@ def test_lookup_reads_the_dates_of_the_batch(spark, tmp_path):
     assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1] and "ReadSchema: struct<signame:string,time:timestamp_ntz>" in plan
     read = len(keys.select(F.input_file_name()).distinct().collect())
     assert read == 2 and len(list((tmp_path / "t").rglob("*.parquet"))) >= 400
+
+
+def test_ids_count_on_over_appends(spark, tmp_path):
+    ledger = str(tmp_path / "ids")
+
+    def ids(keys, writer, batch, **kw):
+        rows = spark.createDataFrame([(k, 0, 0) for k in keys], "signame string, k long, seg long").repartition(3)
+        return {r.signame: r.id for r in signal_table.assign_next_ids(rows, ledger, writer, batch, **kw).collect()}
+
+    assert ids("cab", "one", 0) == {"a": 1, "b": 2, "c": 3}
+    assert ids("ed", "two", 0, task_rows=1) == {"d": 4, "e": 5}
+    assert ids("", "one", 1) == {}
+    assert ids("fg", "one", 2) == {"f": 6, "g": 7}
+    assert ids("gf", "one", 2) == {"f": 6, "g": 7}  # a replay
+    assert ids("de", "two", 0) == {"d": 4, "e": 5}
+    assert ids("h", "one", 3) == {"h": 8}
+    with pytest.raises(ValueError):
+        ids("hi", "one", 3)
+    assert sorted(p.name for p in (tmp_path / "ids" / "writer=one").iterdir()) == ["batch=2", "batch=3"]
+
+
+def test_an_id_alone_reads_few_files(spark, tmp_path):
+    """Hashed ids lie anywhere; still the data of a few files of many are read."""
+    table, per_file = str(tmp_path / "t"), 60
+    rows = spark.range(200 * per_file).select(
+        F.lit("a").alias("signame"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("id") % 200).cast("int"), F.lit(0), F.lit(0), F.col("id").cast("decimal(18,6)") / 1000)).alias("time"),
+        F.array(F.col("id").cast("double")).alias("ecg"), F.lit("TRUE").alias("abnormal"), F.col("id").alias("k"), F.lit(1).alias("seg"),
+    )
+    signal_table.sink_signal_samples(rows, table, "w")
+    stored = signal_table.read_signal_samples(spark, table)
+    wanted = stored.where("ecg[0] = 777").first().id
+    found = serving.ecg_signal(stored, wanted)
+    assert [r.ecg for r in found.collect()] == [[777.0]]
+    plan = found._jdf.queryExecution().executedPlan()
+    read = plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    assert 1 <= read < 5 * per_file
