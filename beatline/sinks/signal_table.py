@@ -238,6 +238,12 @@ def read_signal_samples(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path).where("not refused").drop("reason", "writer", "batch", "refused")
 
 
+def read_batch(spark: SparkSession, path: str, writer: str, batch: int) -> DataFrame:
+    """What one batch of a writer stored; only its folder is read."""
+    table = _read(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch) & ~F.col("refused"))
+    return table.drop("reason", "writer", "batch", "refused")
+
+
 def read_refused(spark: SparkSession, path: str) -> DataFrame:
     """Rows that broke a constraint of the table, with writer, batch and reason."""
     return _read(spark, path).where("refused").drop("refused", "date")

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from beatline.operators.windows import SIZE, SLIDE
 from beatline.plans.detection import detect_in_windows
+from beatline.plans.serving import RECENT_SECONDS
 from beatline.schemas import REFUSED_MESSAGES, SAMPLES
+from beatline.sinks.reports import update_reports
 from beatline.sinks.side_tables import read_aside, sink_aside
 from beatline.sinks.signal_table import sink_signal_samples, stable_id
 from beatline.sources.messages import judge_messages
@@ -38,6 +40,8 @@ def detect_stream(
     delay: str | None = None,
     late: str | None = None,
     divert: Divert | None = None,
+    reports: str | None = None,
+    report_seconds: int = RECENT_SECONDS,
     **kw,
 ) -> StreamingQuery:
     """Start detection on a streaming frame of (signame, ts, tie, value).
@@ -52,7 +56,9 @@ def detect_stream(
     samples in the order of event time (see ``Reorder``); later ones are stored
     at ``late``, by default under the checkpoint, for ``read_late``. Without it
     samples count in the order of their arrival. ``delay`` and ``divert`` need
-    ``front='carry'``.
+    ``front='carry'``. ``reports`` is a folder of summaries that each batch
+    brings up to date, for ``newest_rows`` and ``recent_rows``; it needs a
+    table's path.
 
     The stream's name is made with its checkpoint and is part of folders and
     ids. A batch replayed after a failure replaces its rows instead of repeating
@@ -62,8 +68,16 @@ def detect_stream(
         raise ValueError("front is 'state' or 'carry'")
     if front == "state" and (delay or divert):
         raise ValueError("samples are only ordered or diverted with front='carry'")
+    if reports and callable(table):
+        raise ValueError("reports are made from a stored table")
     spark = samples.sparkSession
-    sink = table if callable(table) else lambda rows, name, batch: sink_signal_samples(rows, table, name, batch)
+
+    def append(rows: DataFrame, writer: str, batch: int) -> None:
+        sink_signal_samples(rows, table, writer, batch)
+        if reports:
+            update_reports(spark, table, reports, writer, batch, seconds=report_seconds)
+
+    sink = table if callable(table) else append
     reported = ReportedBeats(spark, f"{checkpoint}/beats", size, slide) if dedup else None
 
     def name() -> str:

@@ -279,6 +279,11 @@ FROM e JOIN s ON s.signame = e.signame GROUP BY ALL""",
         "latest_events": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE signame = '007' AND abnormal = 'TRUE' "
         "ORDER BY t.time DESC, id DESC LIMIT 50",
         "latest_events_stored": chain + f"SELECT signame, {stamp('time')} AS time, abnormal FROM a WHERE signame = 'error'",
+        "latest_events_kept": chain
+        + f"SELECT signame, {stamp('a.time')} AS time, abnormal FROM a WHERE signame = 'error' ORDER BY a.time DESC LIMIT 50",
+        "recent_events_kept": chain
+        + f"SELECT signame, {stamp('a.time')} AS time, abnormal FROM a WHERE a.time > (SELECT max(a.time) - INTERVAL 86400 SECOND FROM a) "
+        "ORDER BY a.time LIMIT 50",
         "recent_events": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE t.time > (SELECT max(t.time) - INTERVAL 86400 SECOND FROM t) "
         "ORDER BY t.time, id LIMIT 50",
         "events_view_all": f"WITH {TABLE} SELECT {EVENT} FROM t WHERE t.time > (SELECT max(t.time) - INTERVAL 60 SECOND FROM t) "

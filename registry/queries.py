@@ -14,6 +14,7 @@ from beatline.operators.indexing import dense_index
 from beatline.plans import detection, serving
 from beatline.runtime import scratch_path
 from beatline.sinks import signal_table
+from beatline.sinks.reports import newest_rows, recent_rows
 from beatline.sources import messages, metadata, signal_files
 from beatline.streaming.detection import read_late, read_refused_messages
 from registry import streams
@@ -538,6 +539,23 @@ def latest_events_stored(spark, sf):
     return _event(found).select("signame", "time", "abnormal")
 
 
+def _reports(spark, sf):
+    """Summaries that a stream kept up over three runs."""
+    rows, reports = samples(spark, sf), scratch_path(spark, "reports")
+    streams.anomalies_of(rows, "carry", parts=streams.by_time(rows, 3), reports=reports, report_seconds=86_400, **LONG)
+    return reports
+
+
+def latest_events_kept(spark, sf):
+    table = newest_rows(spark, _reports(spark, sf))
+    return _event(serving.latest_events(table, "error")).select("signame", "time", "abnormal")
+
+
+def recent_events_kept(spark, sf):
+    table = recent_rows(spark, _reports(spark, sf))
+    return _event(serving.recent_events(table, 86_400)).select("signame", "time", "abnormal")
+
+
 def recent_events(spark, sf):
     return _event(serving.recent_events(event_table(spark, sf), 86_400))
 

@@ -7,6 +7,7 @@ from beatline.functions.arrays import parse_array_text
 from beatline.plans import serving
 from beatline.schemas import SIGNAL_SAMPLES
 from beatline.sinks import signal_table
+from beatline.sinks.reports import newest_rows, recent_rows, update_reports
 
 DAY = dt.datetime(2024, 1, 1, 23, 59, 0)
 
@@ -223,3 +224,29 @@ def test_an_id_alone_reads_few_files(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan()
     read = plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
     assert 1 <= read < 5 * per_file
+
+
+def test_reports_are_kept_up(spark, tmp_path):
+    """After each batch of either writer the summaries answer as the table does, and read no more as it grows."""
+    table, kept = str(tmp_path / "t"), str(tmp_path / "r")
+    sizes = []
+    for batch in range(4):
+        for writer in ("one", "two"):
+            place = F.col("id") + 1000 * batch
+            given = spark.range(90).select(
+                (place * 2 + int(writer == "two")).alias("id"), F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("signame"),
+                (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (place / 2 - F.pmod(F.col("id") * 7, F.lit(40))).cast("decimal(18,6)"))).alias("time"),
+                F.array(F.lit(1.0)).alias("ecg"), F.when(F.col("id") % 3 == 0, "FALSE").otherwise("TRUE").alias("abnormal"),
+            )
+            for _ in range(2 if batch == 2 else 1):  # a replay
+                signal_table.sink_signal_samples(given, table, writer, batch)
+                update_reports(spark, table, kept, writer, batch, rows=10)
+        stored = signal_table.read_signal_samples(spark, table)
+        for name in "ab":
+            got = serving.latest_events(newest_rows(spark, kept), name, 10).collect()
+            assert got == serving.latest_events(stored, name, 10).collect() and len(got) == 10
+        got = serving.recent_events(recent_rows(spark, kept)).collect()
+        assert got == serving.recent_events(stored).collect() and got
+        sizes.append(newest_rows(spark, kept).count() + recent_rows(spark, kept).count())
+    assert sizes[-1] <= sizes[0] + 5 and stored.count() == 720
+    assert sorted(p.name for p in (tmp_path / "r" / "writer=one").iterdir()) == ["batch=2", "batch=3"]
