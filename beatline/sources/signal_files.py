@@ -46,9 +46,12 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     their names. Lines are never shuffled.
     """
     files = list_files(spark, path)
-    packed = files.where(F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).isin(*_PACKED)).limit(1).count()
-    schemes = [r[0] for r in files.select(F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)).distinct().limit(2).collect()]
-    if not packed and all(map(opens, schemes)):
+    ending = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    found = files.agg(
+        F.bool_or(ending.isin(*_PACKED)).alias("packed"),
+        F.collect_set(F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)).alias("schemes"),
+    ).first()
+    if not found.packed and all(map(opens, found.schemes)):
         return read_ranges(plan_ranges(files))
     return _stored_lines(spark, path)
 
@@ -108,10 +111,7 @@ def plan_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """
     ship(files.sparkSession)
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes)))
-    ranges = store(
-        files.select("path", "length", cut.alias("begin")).withColumn("end", F.least("length", F.col("begin") + range_bytes)),
-        "cuts",
-    )
+    ranges = files.select("path", "length", cut.alias("begin")).withColumn("end", F.least("length", F.col("begin") + range_bytes))
     counted = _spread(ranges).mapInArrow(_count_ranges, "path string, length long, changed long, begin long, end long, n long")
     planned = store(counted.withColumn("record", _record_name(F.col("path"))), "counted")
     base = F.coalesce(F.sum("n").over(_before("path", "begin")), F.lit(0))
