@@ -99,8 +99,8 @@ class WordCache:
     def values(self, words: list) -> list:
         found = list(map(self.young.get, words))
         if None in found:
-            fresh = []
-            for w in {w for w, v in zip(words, found, strict=True) if v is None}:
+            fresh, missed = [], [i for i, v in enumerate(found) if v is None]
+            for w in {words[i] for i in missed}:
                 if (v := self.old.get(w)) is None:
                     fresh.append(w)
                 else:
@@ -108,7 +108,8 @@ class WordCache:
             for i in range(0, len(fresh), 10_000):
                 part = fresh[i : i + 10_000]
                 self.young.update(zip(part, self.encode(part), strict=True))
-            found = list(map(self.young.get, words))
+            for i in missed:
+                found[i] = self.young[words[i]]
             for w in fresh:
                 if len(w) > self.longest:
                     del self.young[w]

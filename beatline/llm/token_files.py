@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -21,12 +22,18 @@ from beatline.runtime import partitions_for, scratch_path, store
 #: Documents one file is meant to hold.
 FILE_DOCS = 20_000
 
-#: Words a worker's cache holds in each of its two generations.
-CACHED = 600_000
+#: Words, and parts of words, a worker's caches hold in each of their two generations.
+CACHED, CACHED_PARTS = 350_000, 250_000
+
+#: Fixed value: pre-tokens of tokenizers that never join a letter or digit to what ends a word after it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _WORD = re.compile(f"[^{UNICODE_SPACE}]+")
 # Characters at which str.split() splits but the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
+# What may be cut off a word's end, and the Latin letters and digits, one to one in lower case, it may be cut from.
+_ENDING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_STEM = re.compile("[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff]\\Z")
 _CACHES: dict[str, WordCache] = {}
 
 
@@ -35,6 +42,49 @@ def word_ids(path: str, words: list[str]) -> list[bytes]:
     return [array("I", e.ids).tobytes() for e in encoded]
 
 
+def word_parts(words: list[str], specials: list[str]) -> list[tuple[str, str]]:
+    """Each word as stem and ending, which are encoded by themselves; ASCII stems in lower case.
+
+    An ending is ASCII punctuation after a Latin letter or digit. Words with a
+    special string in them, in whatever case, stay as they are.
+    """
+    parts = []
+    for word in words:
+        stem = word.rstrip(_ENDING)
+        if specials and any(s in word.lower() for s in specials):
+            parts.append((word, ""))
+        elif len(stem) == len(word) or not _STEM.search(stem):
+            parts.append((word.lower() if word.isascii() else word, ""))
+        else:
+            parts.append((stem.lower() if stem.isascii() else stem, word[len(stem) :]))
+    return parts
+
+
+def _steps(part, name: str) -> list[dict]:
+    """The steps of a tokenizer's sequence of normalizers or pre-tokenizers."""
+    return json.loads(part.__getstate__()).get(name, []) if part else []
+
+
+def _cache(path: str) -> WordCache:
+    """The worker's cache of a tokenizer's words, over one of parts of words where words have such parts."""
+    own, whole = tokenizer(path), WordCache(lambda w: word_ids(path, w), CACHED)
+    steps = _steps(own.normalizer, "normalizers")
+    cuts = _steps(own.pre_tokenizer, "pretokenizers")
+    lower = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+    if not lower or not cuts or cuts[0].get("pattern") != {"Regex": SPLIT} or own.post_processor:
+        return whole
+    specials = [t.content.lower() for t in own.get_added_tokens_decoder().values()]
+    small = WordCache(lambda w: word_ids(path, w), CACHED_PARTS)
+
+    def by_parts(words: list[str]) -> list[bytes]:
+        parts = word_parts(words, specials)
+        stems = small.values([a for a, _ in parts])
+        ends = iter(small.values([b for _, b in parts if b]))
+        return [s + next(ends) if b else s for s, (_, b) in zip(stems, parts, strict=True)]
+
+    return WordCache(by_parts, CACHED)
+
+
 def encode_texts(path: str, texts: list[str], end: bytes = b"") -> list[bytes]:
     """Each text's ids as little-endian 32-bit integers, word by word through the worker's cache.
 
@@ -42,7 +92,7 @@ def encode_texts(path: str, texts: list[str], end: bytes = b"") -> list[bytes]:
     """
     cache = _CACHES.get(path)
     if cache is None:
-        cache = _CACHES[path] = WordCache(lambda w: word_ids(path, w), CACHED)
+        cache = _CACHES[path] = _cache(path)
     words, cuts = [], [0]
     for text in texts:
         words += _WORD.findall(text) if _ODD.search(text) else text.split()

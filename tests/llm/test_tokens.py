@@ -36,6 +36,17 @@ def test_words_give_the_librarys_ids(t):
     assert list(array("I", token_files.encode_texts(WORDS, [t])[0])) == want
 
 
+def test_endings_of_words_are_encoded_apart():
+    specials = ["<|endoftext|>"]
+    words = ["The,", "fürß..", "i\u0307.", "e\u0301,", "x<|EndOfText|>.", "A<|endoftext|>", "don't.", "'s", "..", "a=\u0338", "İ.", "9%%"]
+    assert token_files.word_parts(words, specials) == [
+        ("the", ","), ("fürß", ".."), ("i\u0307.", ""), ("e\u0301,", ""), ("x<|EndOfText|>.", ""), ("A<|endoftext|>", ""),
+        ("don't", "."), ("'s", ""), ("..", ""), ("a=\u0338", ""), ("İ.", ""), ("9", "%%"),
+    ]
+    own, text = token_counts.tokenizer(WORDS), " ".join(words)
+    assert list(array("I", token_files.encode_texts(WORDS, [text])[0])) == own.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("table_size", [50_000, 3])
 def test_token_counts(spark, table_size):
     given_rows = rows()
