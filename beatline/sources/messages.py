@@ -14,6 +14,9 @@ from beatline.functions.times import clock_text
 FS = 360.0
 TOPIC = "ecg-topic2"
 
+#: Messages a micro-batch takes from a topic unless the options say otherwise.
+BATCH_MESSAGES = 5_000_000
+
 
 def replay_timestamps(indexed: DataFrame, start: str, fs: float = FS, idx: str = "idx") -> DataFrame:
     """Add event time ``ts`` and its time-of-day text ``time`` from the sample index.
@@ -52,10 +55,17 @@ def source_stream(
 
     ``fmt='kafka'`` needs the Kafka connector on the class path. Any file format
     with a ``schema`` reads a growing directory instead; downstream is the same.
+
+    A micro-batch takes at most BATCH_MESSAGES of a topic, so a backlog is worked
+    off in pieces that keep each partition's order; ``maxOffsetsPerTrigger`` in
+    ``options`` overrides it. A directory has no such bound by default, since
+    files that arrive together have no order: give ``maxBytesPerTrigger`` where
+    files are written in order of time.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
+        reader = reader.option("maxOffsetsPerTrigger", BATCH_MESSAGES)
     if schema is not None:
         reader = reader.schema(schema)
     reader = reader.options(**(options or {}))

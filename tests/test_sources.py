@@ -288,3 +288,29 @@ def test_metadata(spark):
 def test_channel(spark):
     df = spark.createDataFrame([("a", "MLII", 1.0), ("b", "V5", 2.0)], "record string, channel string, value double")
     assert [r.record for r in metadata.select_channel(df).collect()] == ["a"]
+
+
+class _Reader:
+    """Stands in for a stream reader whose connector is not here."""
+
+    def __init__(self):
+        self.readStream, self.given = self, {}
+
+    def format(self, name):
+        return self
+
+    def option(self, name, value):
+        self.given[name] = value
+        return self
+
+    def options(self, **given):
+        self.given |= given
+        return self
+
+    def load(self):
+        return self.given
+
+
+@pytest.mark.parametrize("asked, want", [(None, messages.BATCH_MESSAGES), ({"maxOffsetsPerTrigger": "7"}, "7")])
+def test_micro_batches_of_a_topic_are_bounded(asked, want):
+    assert messages.source_stream(_Reader(), options=asked)["maxOffsetsPerTrigger"] == want
