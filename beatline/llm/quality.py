@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,8 @@ from beatline.llm.token_counts import load_tokenizer
 
 SYMBOLS = "#*$%&|<>"
 
-#: Words a worker's cache holds in each of its two generations, and bytes of text it judges at once.
-CACHED, SLICE = 120_000, 1 << 20
+#: Words in a worker's table, stems in each of its cache's two generations, longest word either keeps, bytes of text judged at once.
+CACHED, STEMS, LONGEST, SLICE = 400_000, 120_000, 64, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -50,20 +52,127 @@ BANDS = {
 }
 
 
-def _pieces(path: str):
-    import sentencepiece
+# What may be cut off a word's end, and the characters it may be cut from: ASCII punctuation after Latin letters and digits.
+_ENDING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_STEM = frozenset(c for c in map(chr, range(256)) if c.isascii() and c.isalnum() or c >= "\xc0" and c.isalpha())
 
-    own = sentencepiece.SentencePieceProcessor(model_file=path)
-    is_byte = np.array([own.is_byte(i) for i in range(own.get_piece_size())])
-    return own, is_byte
 
+class _Vocabularies:
+    """Piece ids and number of byte-level tokens of single words, each as after a space.
 
-def word_values(pieces, byte, words: list[bytes]) -> list[tuple[bytes, int]]:
-    """Piece ids and number of byte-level tokens of single words, each as after a space."""
-    texts = [w.decode() for w in words]
-    ids = pieces.encode(texts, num_threads=1)
-    tokens = byte.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-    return [(array("I", i).tobytes(), len(b.ids)) for i, b in zip(ids, tokens, strict=True)]
+    Where no piece holds a word's last letter and the punctuation after it
+    together, and the byte-level tokenizer cuts there too, both parts are encoded
+    by themselves, so that a stem is encoded once for all its endings.
+    """
+
+    def __init__(self, piece_path: str, byte_path: str):
+        import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2 as pb
+
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.byte = load_tokenizer(byte_path)
+        size = self.pieces.get_piece_size()
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(size)])
+        proto = pb.ModelProto()
+        proto.ParseFromString(self.pieces.serialized_model_proto())
+        cuts = json.loads(self.byte.pre_tokenizer.__getstate__()) if self.byte.pre_tokenizer else {}
+        self.cuts = (
+            proto.normalizer_spec.name == "identity"
+            and cuts.get("type") == "ByteLevel"
+            and cuts.get("use_regex") is True
+            and not self.byte.normalizer
+            and not self.byte.post_processor
+        )
+        self.joins = {p[i : i + 2] for p in map(self.pieces.id_to_piece, range(size)) for i in range(len(p) - 1)}
+        self.specials = [t.content for t in self.byte.get_added_tokens_decoder().values()]
+        self.stems = WordCache(self.whole, STEMS)
+        self.endings = WordCache(self.after_letter, STEMS)
+
+    def whole(self, words: list[str]) -> list[tuple[bytes, int]]:
+        ids = self.pieces.encode(words, num_threads=1)
+        tokens = self.byte.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
+        return [(array("I", i).tobytes(), len(b)) for i, b in zip(ids, tokens, strict=True)]
+
+    def after_letter(self, endings: list[str]) -> list[tuple[bytes, int]]:
+        letter = len(self.pieces.encode("a"))
+        ids = self.pieces.encode(["a" + e for e in endings], num_threads=1)
+        tokens = self.byte.encode_batch_fast(endings, add_special_tokens=False)
+        return [(array("I", i[letter:]).tobytes(), len(b)) for i, b in zip(ids, tokens, strict=True)]
+
+    def parts(self, word: str) -> tuple[str, str]:
+        stem = word.rstrip(_ENDING)
+        if len(stem) == len(word) or not self.cuts or stem[-1:] not in _STEM:
+            return word, ""
+        first = word[len(stem)]
+        if stem[-1] + first in self.joins or "a" + first in self.joins or any(s in word for s in self.specials):
+            return word, ""
+        return stem, word[len(stem) :]
+
+    def values(self, words: list[str]) -> list[tuple[bytes, int]]:
+        parts = list(map(self.parts, words))
+        stems = self.stems.values([a for a, _ in parts])
+        ends = iter(self.endings.values([b for _, b in parts if b]))
+        return [(v[0] + (e := next(ends))[0], v[1] + e[1]) if b else v for v, (_, b) in zip(stems, parts, strict=True)]
+
+
+class _WordTable:
+    """What a worker knows of words, as arrays: piece ids, byte-level tokens, characters and hash.
+
+    A table over its limit, which one slice of text may bring about, is cut to the
+    most used words, half as many as the limit, before the next slice; words over
+    LONGEST bytes go.
+    """
+
+    def __init__(self, vocabularies: _Vocabularies, limit: int):
+        self.own, self.limit = vocabularies, limit
+        self.index: dict[bytes, int] = {}
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.tokens = self.chars = self.used = np.zeros(0, np.int64)
+        self.hashes = np.zeros(0, np.uint64)
+
+    def rows(self, words: list[bytes]) -> np.ndarray:
+        """Each word's row in the arrays, good until the next call."""
+        if len(self.index) > self.limit:
+            self._halve()
+        rows = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missed = np.flatnonzero(rows < 0).tolist()
+        if missed:
+            self._add(list({words[i] for i in missed}))
+            rows[missed] = [self.index[words[i]] for i in missed]
+        self.used += np.bincount(rows, minlength=len(self.used))
+        return rows
+
+    def pieces(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of pieces of each row, and the ids of all, one after the other."""
+        sizes = self.begins[rows + 1] - self.begins[rows]
+        shift = self.begins[rows] - (np.cumsum(sizes) - sizes)
+        return sizes, self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())].astype(np.int64)
+
+    def _add(self, fresh: list[bytes]) -> None:
+        from xxhash import xxh64_intdigest
+
+        texts = [w.decode() for w in fresh]
+        values = [v for i in range(0, len(texts), 10_000) for v in self.own.values(texts[i : i + 10_000])]
+        self.index.update(zip(fresh, range(len(self.tokens), len(self.tokens) + len(fresh)), strict=True))
+        sizes = np.fromiter((len(v[0]) >> 2 for v in values), np.int64, len(values))
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join([v[0] for v in values]), np.uint32)])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+        self.tokens = np.concatenate([self.tokens, np.fromiter((v[1] for v in values), np.int64, len(values))])
+        self.chars = np.concatenate([self.chars, np.fromiter(map(len, texts), np.int64, len(texts))])
+        self.hashes = np.concatenate([self.hashes, np.array([xxh64_intdigest(w, 7) for w in fresh], np.uint64)])
+        self.used = np.concatenate([self.used, np.zeros(len(fresh), np.int64)])
+
+    def _halve(self) -> None:
+        order = np.argsort(-self.used, kind="stable")[: self.limit // 2]
+        kept = np.zeros(len(self.used), bool)
+        kept[order] = True
+        words = [w for w in self.index if len(w) <= LONGEST and kept[self.index[w]]]  # in order of rows
+        rows = np.array([self.index[w] for w in words], np.int64)
+        sizes, ids = self.pieces(rows)
+        self.index = dict(zip(words, range(len(words)), strict=True))
+        self.ids, self.begins = ids.astype(np.uint32), np.concatenate([[0], np.cumsum(sizes)])
+        self.tokens, self.chars, self.hashes = self.tokens[rows], self.chars[rows], self.hashes[rows]
+        self.used = self.used[rows] >> 1
 
 
 @lru_cache(maxsize=65_536)
@@ -93,9 +202,8 @@ def repeated_words(hashes: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
     again = np.zeros(len(order), bool)
     again[1:] |= same
     again[:-1] |= same
-    depth = np.zeros(len(hashes) + 1, np.int64)
-    np.add.at(depth, order[again], 1)
-    np.add.at(depth, order[again] + n, -1)
+    places = order[again]
+    depth = np.bincount(places, minlength=len(hashes) + 1) - np.bincount(places + n, minlength=len(hashes) + 1)
     return np.bincount(doc, np.cumsum(depth)[:-1] > 0, len(sizes)).astype(np.int64)
 
 
@@ -148,22 +256,21 @@ def quality(
     if not lang_col:
         own = own.withColumn("lang", F.lit(None).cast("string"))
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, is_byte = _cache(piece_path, byte_path)
+        table = _table(piece_path, byte_path)
+        is_byte = table.own.is_byte
         for part in slices(batches, size=SLICE):
             texts = part.column("text").to_pylist()
             words = [t.encode().split() for t in texts]
             sizes = np.array([len(w) for w in words], np.int64)
             flat = [w for own_words in words for w in own_words]
-            values = cache.values(flat)
-            ids = np.frombuffer(b"".join([v[0] for v in values]), np.uint32).astype(np.int64)
-            doc = np.repeat(np.arange(len(sizes)), sizes)
+            rows = table.rows(flat)
+            per_word, ids = table.pieces(rows)
             n = len(sizes)
-            n_pieces = np.bincount(doc, [len(v[0]) >> 2 for v in values], n).astype(np.int64)
-            n_byte_tokens = np.bincount(doc, [v[1] for v in values], n)
+            doc = np.repeat(np.arange(n), sizes)
+            n_pieces, n_byte_tokens, chars = (
+                np.bincount(doc, v, n).astype(np.int64) for v in (per_word, table.tokens[rows], table.chars[rows])
+            )
             piece_doc = np.repeat(np.arange(n), n_pieces)
-            hashes = np.array([v[2] for v in values], np.uint64)
-            chars = np.array([sum(map(len, w)) for w in words], np.int64)
-            chars -= np.array([len(t.encode()) - len(t) for t in texts], np.int64)
             with np.errstate(divide="ignore", invalid="ignore"):
                 rates = {
                     "chars_per_piece": chars / n_pieces,
@@ -176,7 +283,7 @@ def quality(
                 "word_chars": chars,
                 "n_symbols": np.array([sum(map(t.count, SYMBOLS)) for t in texts], np.int64),
                 "n_dup_lines": np.array([_dup_lines(t) for t in texts], np.int64),
-                "n_repeat_words": repeated_words(hashes, sizes, repeat_window),
+                "n_repeat_words": repeated_words(table.hashes[rows], sizes, repeat_window),
             }
             langs = part.column("lang").to_pylist()
             chosen = [lang if lang in bands else s if (s := script_of(t)) in bands else "*" for lang, t in zip(langs, texts, strict=True)]
@@ -203,21 +310,9 @@ def quality(
     return own.mapInArrow(judged, schema.add(own.schema["row"]) if carry else schema)
 
 
-def _cache(piece_path: str, byte_path: str) -> tuple[WordCache, np.ndarray]:
-    """This worker's cache (piece ids, byte-level tokens and hash of a word), and which pieces are bytes."""
-
-    def make() -> tuple[WordCache, np.ndarray]:
-        from xxhash import xxh64_intdigest
-
-        pieces, is_byte = _pieces(piece_path)
-        byte = load_tokenizer(byte_path)
-
-        def encode(words: list[bytes]) -> list[tuple[bytes, int, int]]:
-            return [(*v, xxh64_intdigest(w, 7)) for v, w in zip(word_values(pieces, byte, words), words, strict=True)]
-
-        return WordCache(encode, CACHED), is_byte
-
-    return worker_cache("quality", (piece_path, byte_path), make)
+def _table(piece_path: str, byte_path: str) -> _WordTable:
+    """This worker's table of words."""
+    return worker_cache("quality", (piece_path, byte_path), lambda: _WordTable(_Vocabularies(piece_path, byte_path), CACHED))
 
 
 def _dup_lines(text: str) -> int:
