@@ -18,6 +18,11 @@ TASK_ROWS = 2_000_000
 # Most partitions one shuffle is asked for; its block count is their square.
 MOST_PARTITIONS = 32_768
 
+# Partitions that tasks of any size may ask for, and rows that a task has at
+# least where there are more: each partition costs the driver a task's result
+# and, if dealt by ranges, 300 sampled keys.
+SMALL_PARTITIONS, LEAST_ROWS = 2_048, 20_000
+
 # Rows of helper table (a few longs each) that may be broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -114,8 +119,15 @@ def group_load(df: DataFrame, keys: list[str]) -> GroupLoad:
 
 
 def partitions_for(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> int:
-    """Shuffle width for ``rows``: the session's setting, or more where that is too narrow."""
-    wanted = min(-(-rows // task_rows), MOST_PARTITIONS)
+    """Shuffle width for ``rows``: the session's setting, or more where that is too narrow.
+
+    Tasks of fewer than LEAST_ROWS rows are given up before there are more than
+    SMALL_PARTITIONS of them.
+    """
+    wanted = -(-rows // task_rows)
+    if wanted > SMALL_PARTITIONS:
+        wanted = max(SMALL_PARTITIONS, -(-rows // max(task_rows, LEAST_ROWS)))
+    wanted = min(wanted, MOST_PARTITIONS)
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 

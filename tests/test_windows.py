@@ -13,7 +13,7 @@ from beatline.operators.windows import (
     window_collect,
     window_rows,
 )
-from beatline.runtime import group_load
+from beatline.runtime import group_load, partitions_for
 
 
 def got(df):
@@ -91,6 +91,14 @@ def test_group_load(spark):
     assert not load.balanced(8)
 
 
+def test_small_tasks_ask_for_bounded_partitions(spark):
+    assert partitions_for(spark, 100_000, 500) == 200
+    assert partitions_for(spark, 6_000_000, 500) == partitions_for(spark, 36_000_000, 500) == 2_048
+    assert partitions_for(spark, 100_000_000, 500) == 5_000
+    assert partitions_for(spark, 10_000_000_000) == 5_000
+    assert partitions_for(spark, 10**12) == 32_768
+
+
 def test_identities(spark):
     df = samples(spark, {"a": range(50), "b": range(20)})
     for same in (rebalance(df, 5), key_by(df), watermark(df)):
