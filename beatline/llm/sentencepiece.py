@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +26,19 @@ SPACE = "▁"
 #: Characters of a unit the lattice takes; the fold's work grows with the square.
 LONGEST = 64
 
+#: Characters of a substring that say which lengths are worth trying.
+HEAD = 3
+
 #: Units in the broadcast table, and how many of them a partition names.
 TABLE, NAMED = 150_000, 20_000
 
-#: UTF-8 bytes of text in a block of documents.
-SLICE = 2 << 20
+#: UTF-8 bytes of text in a block of documents, and units on their way back that are packed at once.
+SLICE, PACKED = 2 << 20, 200_000
 
 # No piece joins a character other than a space to a space after it, and none
 # holds a newline (checked when a model is read): units end there.
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+_SPACED = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NONE = (1 << 31) - 1
 
 
@@ -89,6 +94,25 @@ def units(text: str, prefix: bool = True) -> list[str]:
     return _UNIT.findall((SPACE if prefix and text else "") + text.replace(" ", SPACE))
 
 
+def words(text: str, prefix: bool = True) -> list[str]:
+    """The parts between a text's spaces; ``word_units`` gives the units of each.
+
+    A part is written without the first space before it, which the prefix gives
+    to the first one too.
+    """
+    if not prefix:
+        return units(text, False)
+    if not text:
+        return []
+    if text[0] == " " or "  " in text or SPACE in text:
+        return [w[1:] for w in _SPACED.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
+def word_units(word: str, prefix: bool = True) -> list[str]:
+    return _UNIT.findall(SPACE + word) if prefix else [word]
+
+
 def split_unit(unit: str, own: Model) -> list[str]:
     """Parts of a unit between which no piece can lie: its two characters stand in no piece together."""
     parts, begin, pairs = [], 0, own.pairs
@@ -102,34 +126,46 @@ def split_unit(unit: str, own: Model) -> list[str]:
 def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
     """Add the edges of each distinct ``unit``: keys, pids, ranks, scores, begins and ends.
 
-    Substrings of at most the longest piece's length are exploded and joined to
-    the piece table by equality; a key is start * (longest + 1) + length, and
-    edges are in order of rank and start, single characters last. The piece table is a vocabulary file's, its row count is checked, and it is
+    Each start is joined to the lengths of the pieces that begin with its first
+    three characters, and the substrings of these lengths to the piece table, both
+    by equality. A key is start * (longest + 1) + length, and edges are in order of
+    rank and start; single characters are edges of unigram models only. Both
+    tables come from a vocabulary file, whose row count is checked, and are
     broadcast, so a unit's edges stay adjacent and are gathered where they are.
     """
     spark = unit_rows.sparkSession
     if len(own.ids) > BROADCAST_ROWS:
         raise ValueError("the vocabulary is too large to be broadcast")
+    heads: dict[str, set[int]] = {}
+    for p in own.ids:
+        if len(p) >= HEAD:
+            heads.setdefault(p[:HEAD], set()).add(len(p))
+    short = list(range(1 if own.unigram else 2, HEAD))
+    lengths = spark.createDataFrame([(h, sorted(n)) for h, n in heads.items()] or [("", [0])], "head string, lengths array<int>")
+    # The empty piece is that of a unit's first row, which carries the unit itself.
     pieces = spark.createDataFrame(
-        [(p, i, own.ranks[p], own.scores[p]) for p, i in own.ids.items()], "piece string, pid int, rank int, score double"
+        [("", -1, _NONE, 0.0), *[(p, i, own.ranks[p], own.scores[p]) for p, i in own.ids.items() if len(p) >= short[0]]],
+        "piece string, pid int, rank int, score double",
     )
     width = own.longest + 1
     others = [c for c in unit_rows.columns if c != "unit"]
     numbered = unit_rows.withColumn("uid", F.monotonically_increasing_id())
     starts = numbered.select("*", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("i"))
-    most = F.least(F.lit(own.longest), F.length("unit") - F.col("i"))
-    cut = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("n"))
-    first = (F.col("i") == 0) & (F.col("n") == 1)
+    tried = starts.withColumn("head", F.substring(F.col("unit"), F.col("i") + 1, F.lit(HEAD))).join(
+        F.broadcast(lengths), "head", "left"
+    )
+    none, least = F.array().cast("array<int>"), F.array(*map(F.lit, short))
+    every = F.concat(F.when(F.col("i") == 0, F.array(F.lit(0))).otherwise(none), least, F.coalesce("lengths", none))
+    cut = tried.select(*numbered.columns, "i", F.explode(every).alias("n")).where("i + n <= length(unit)")
+    first = F.col("n") == 0
     edges = (
         cut.select(
             "uid",
-            # Only a unit's first row, its first character, carries the unit itself.
             *[F.when(first, F.col(c)).alias(c) for c in ("unit", *others)],
             (F.col("i") * width + F.col("n")).alias("key"),
             F.substring(F.col("unit"), F.col("i") + 1, F.col("n")).alias("piece"),
         )
-        .join(F.broadcast(pieces), "piece", "left")
-        .where(f"pid is not null or key % {width} = 1")  # single characters keep every unit
+        .join(F.broadcast(pieces), "piece")
         .select("uid", *unit_rows.columns, "key", "pid", "rank", "score")
     )
     fields = unit_rows.schema.fields
@@ -154,13 +190,14 @@ def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
     def lists(rows: pa.RecordBatch) -> pa.RecordBatch:
         uid = rows.column("uid").to_numpy()
         first = np.flatnonzero(np.concatenate([[True], uid[1:] != uid[:-1]]))
-        offsets = pa.array(np.append(first, len(uid)).astype(np.int32))
         at = pa.array(first)
-        rank = rows.column("rank").fill_null(_NONE).to_numpy()
         unit = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(uid))))
         key = rows.column("key").to_numpy()
         begin, size = key // width, key % width
-        order = pa.array(np.lexsort([key, np.where(size > 1, rank, _NONE), unit]))
+        own_rows = np.flatnonzero(size)
+        rank = np.where(size > 1, rows.column("rank").to_numpy(), _NONE)[own_rows]
+        order = pa.array(own_rows[np.lexsort([key[own_rows], rank, unit[own_rows]])])
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(unit[own_rows], minlength=len(first)))]).astype(np.int32))
         values = [*[rows.column(c) for c in ("key", "pid", "rank", "score")], pa.array(begin), pa.array(begin + size)]
         edge = [pa.ListArray.from_arrays(offsets, v.take(order)) for v in values]
         return pa.RecordBatch.from_arrays(
@@ -198,8 +235,8 @@ def _in_rank_order(width: int):
 
     size = F.length("unit")
     start = F.transform(F.sequence(F.lit(0), size), lambda i: F.when(i < size, i + 1).otherwise(-1))
-    # The last edges are the single characters, one for each.
-    return F.aggregate(F.sequence(F.lit(0), F.size("keys") - size - 1), start, step)
+    # Without edges the fold's steps, 0 and -1, find none and change nothing.
+    return F.aggregate(F.sequence(F.lit(0), F.size("keys") - 1), start, step)
 
 
 def _merged(width: int):
@@ -281,7 +318,11 @@ def _viterbi(width: int, longest: int, unknown: float):
 
 
 def encode_units(unit_rows: DataFrame, own: Model) -> DataFrame:
-    """Add ``ids`` to distinct units of at most LONGEST characters; -1 - c for a character c without piece."""
+    """Add ``ids`` to distinct units of at most LONGEST characters.
+
+    A character c that is left by itself is -1 - c, but in unigram models only if
+    it is no piece; ``with_bytes`` gives the ids of such characters.
+    """
     width = own.longest + 1
     edges = lattice(unit_rows, own)
     if own.unigram:
@@ -310,12 +351,15 @@ def encode_units(unit_rows: DataFrame, own: Model) -> DataFrame:
 
 
 def with_bytes(ids: list[int], own: Model) -> np.ndarray:
-    """Ids as the library gives them: characters without piece become byte pieces."""
+    """Ids as the library gives them: single characters become their piece or byte pieces."""
     if min(ids, default=0) >= 0:
         return np.array(ids, np.int32)
     out: list[int] = []
     for i in ids:
-        out += [i] if i >= 0 else [own.bytes_[b] for b in chr(-1 - i).encode()]
+        if i < 0 and (piece := own.ids.get(chr(-1 - i))) is None:
+            out += [own.bytes_[b] for b in chr(-1 - i).encode()]
+        else:
+            out.append(i if i >= 0 else piece)
     return np.array(out, np.int32)
 
 
@@ -384,9 +428,12 @@ def encode(
     prefix = own.prefix
 
     def cut(text: str) -> list[str]:
-        return [u for u in units(text, prefix) if len(u) <= LONGEST]
+        return words(text, prefix)
 
-    frequent = frequent_pieces(spark, source, cut, table_size, NAMED)
+    def short_units(word: str) -> list[str]:
+        return [u for u in word_units(word, prefix) if len(u) <= LONGEST]
+
+    frequent = frequent_pieces(spark, source, cut, table_size, NAMED, short_units)
     rows = spark.createDataFrame([(u,) for u in frequent], "unit string").repartition("unit")
     encoded = encode_units(rows, own).collect()  # at most table_size rows
     table = spark.sparkContext.broadcast({r.unit: with_bytes(r.ids, own).tobytes() for r in encoded})
@@ -402,9 +449,10 @@ def encode(
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mine = table.value, _own_model(model_path)
         for part in slices(batches, size=SLICE):
-            found: set[str] = set()
+            held: set[str] = set()
             for text in part.column("text").to_pylist():
-                found.update(units(text, prefix))
+                held.update(words(text, prefix))
+            found = {u for w in held for u in word_units(w, prefix)}
             parts = {p for u in found.difference(known) for p in split_unit(u, mine)}
             own_units = [p for p in parts.difference(known) if len(p) <= LONGEST]
             yield pa.RecordBatch.from_arrays(
@@ -418,11 +466,9 @@ def encode(
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([payload], pa.binary())], ["block", "payload"])
 
     grouped = source.mapInArrow(rare, "unit string, block long").groupBy("unit").agg(F.collect_set("block").alias("blocks"))
-    sent = encode_units(grouped, own).select(F.explode("blocks").alias("block"), "unit", "ids")
+    sent = encode_units(grouped, own).select("blocks", "unit", "ids").mapInArrow(_to_blocks, f"block long, {_SENT}")
     held = source.mapInArrow(blocks, "block long, payload binary")
-    both = sent.withColumn("payload", F.lit(None).cast("binary")).unionByName(
-        held.withColumns({"unit": F.lit(None).cast("string"), "ids": F.lit(None).cast("array<int>")})
-    )
+    both = sent.withColumn("payload", F.lit(None).cast("binary")).unionByName(held, allowMissingColumns=True)
     kind = source.schema["id"].dataType.simpleString()
     id_type = _arrow_type(kind)
 
@@ -431,23 +477,29 @@ def encode(
 
         mine = _own_model(model_path)
         # The block's own units first, then the table, which all blocks share.
-        words: dict[str, bytes] = {}
-        known = table.value
+        own_units: dict[str, bytes] = {}
+        known, by_word = table.value, {}
         payloads = rows.column("payload").drop_null().to_pylist()
-        listed = rows.filter(rows.column("unit").is_valid()).combine_chunks()
-        words.update(_listed(listed, mine))
+        for row in rows.filter(rows.column("units").is_valid()).select(["units", "lengths", "sizes", "codes"]).to_pylist():
+            own_units.update(_unpacked(**row, own=mine))
+
+        def unit_ids(unit: str) -> bytes:
+            if (ids := known.get(unit)) is None:
+                ids = b"".join([_part_ids(p, own_units, known, mine) for p in split_unit(unit, mine)])
+            return ids
+
         out: dict[str, list] = {"id": [], "ids": [], "n": [], "sha": []}
         for payload in payloads:
             for part in pa.ipc.open_stream(zstandard.decompress(payload)):
                 out["id"] += part.column("id").to_pylist()
                 for text in part.column("text").to_pylist():
-                    found = units(text, prefix)
-                    ids = list(map(known.get, found))
+                    found = words(text, prefix)
+                    ids = list(map(by_word.get, found))
                     for k in [k for k, i in enumerate(ids) if i is None]:
-                        u = found[k]
-                        if (own_ids := words.get(u)) is None:
-                            own_ids = words[u] = b"".join([_part_ids(p, words, known, mine) for p in split_unit(u, mine)])
-                        ids[k] = own_ids
+                        w = found[k]
+                        if (of_word := by_word.get(w)) is None:
+                            of_word = by_word[w] = b"".join(map(unit_ids, word_units(w, prefix)))
+                        ids[k] = of_word
                     out["ids"].append(np.frombuffer(b"".join(ids), np.int32))
                     out["n"].append(len(out["ids"][-1]))
                     out["sha"].append(hashlib.sha256(text.encode()).hexdigest())
@@ -466,21 +518,84 @@ def encode(
     return both.groupBy("block").applyInArrow(joined, schema)
 
 
-def _listed(rows: pa.Table, own: Model) -> dict[str, bytes]:
+_SENT = "units string, lengths binary, sizes binary, codes binary"
+
+
+def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units and their ids put together by the blocks that hold them, one row a block.
+
+    ``units`` is one string, ``lengths`` and ``sizes`` have a byte a unit: its
+    characters and its ids, both at most LONGEST. ``codes`` has the low halves of
+    all ids, then the high ones.
+    """
+    waiting, n = [], 0
+
+    def rows() -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        lists, ids = table.column("blocks").chunk(0), table.column("ids").chunk(0)
+        block = lists.flatten().to_numpy()
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        of = np.asarray(pc.list_parent_indices(lists))[order]
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        ends = np.append(first[1:], len(block)).tolist()
+        texts, out = table.column("unit").to_pylist(), {c: [] for c in ("units", "lengths", "sizes", "codes")}
+        flat, begins = ids.flatten().to_numpy(), ids.offsets.to_numpy().astype(np.int64)
+        begins -= begins[0]
+        counts = np.diff(begins)
+        for begin, end in zip(first.tolist(), ends, strict=True):
+            mine = of[begin:end]
+            own_texts = [texts[i] for i in mine.tolist()]
+            sizes = counts[mine]
+            codes = flat[np.repeat(begins[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+            out["units"].append("".join(own_texts))
+            out["lengths"].append(bytes(map(len, own_texts)))
+            out["sizes"].append(sizes.astype(np.uint8).tobytes())
+            out["codes"].append(codes.astype(np.uint16).tobytes() + (codes >> 16).astype(np.int16).tobytes())
+        kinds = (pa.string(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[first]), *[pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)]], ["block", *out]
+        )
+
+    for batch in batches:
+        if len(batch):
+            waiting.append(batch)
+            n += len(batch.column("blocks").flatten())
+        if n >= PACKED:
+            yield rows()
+            waiting, n = [], 0
+    if n:
+        yield rows()
+
+
+def _unpacked(units: str, lengths: bytes, sizes: bytes, codes: bytes, own: Model) -> dict[str, bytes]:
     """Units of a block and their ids as bytes."""
-    if not len(rows):
-        return {}
-    ids = rows.column("ids").chunk(0)
-    ends = (ids.offsets.to_numpy() * 4).tolist()
-    flat = ids.values.to_numpy()
-    raw, below = flat.tobytes(), np.minimum.reduceat(flat, ids.offsets.to_numpy()[:-1]) < 0
-    found = {u: raw[b:e] for u, b, e in zip(rows.column("unit").to_pylist(), ends, ends[1:], strict=False)}
-    for i in np.flatnonzero(below).tolist():
-        unit = rows.column("unit")[i].as_py()
-        found[unit] = with_bytes(flat[ends[i] // 4 : ends[i + 1] // 4].tolist(), own).tobytes()
+    half = len(codes) // 2
+    flat = np.frombuffer(codes, np.int16, offset=half).astype(np.int32) << 16 | np.frombuffer(codes, np.uint16, half // 2)
+    by_char = worker_cache("sentencepiece", "characters", lambda: _characters(own))
+    alone = (flat < 0) & (flat >= -len(by_char))
+    flat[alone] = by_char[-1 - flat[alone]]
+    ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64))
+    raw, at, found, begin = flat.tobytes(), (ends * 4).tolist(), {}, 0
+    texts = []
+    for n in lengths:
+        texts.append(units[begin : begin + n])
+        begin += n
+    found = {u: raw[b:e] for u, b, e in zip(texts, [0, *at], at, strict=False)}
+    for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), side="right")).tolist():
+        found[texts[i]] = with_bytes(flat[ends[i] - sizes[i] : ends[i]].tolist(), own).tobytes()
     return found
 
 
+def _characters(own: Model) -> np.ndarray:
+    """Ids of single characters below 65,536, -1 - c for a character c without piece."""
+    ids = -1 - np.arange(1 << 16, dtype=np.int32)
+    for p, i in own.ids.items():
+        if len(p) == 1 and ord(p) < len(ids):
+            ids[ord(p)] = i
+    return ids
+
+
 def _own_model(path: str) -> Model:
     """The model, kept by this worker in place of what other operators left."""
     return worker_cache("sentencepiece", path, lambda: model(path))

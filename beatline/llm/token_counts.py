@@ -6,7 +6,10 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +53,29 @@ def lengths(path: str, strings: list[str]) -> list[int]:
     return [len(e.ids) for e in encoded]
 
 
+def most_counted(seen: Counter, size: int) -> Counter:
+    """The ``size`` largest counts; of equal ones those met first."""
+    if len(seen) <= size:
+        return seen
+    counts = np.fromiter(seen.values(), np.int64, len(seen))
+    least = int(np.partition(counts, len(counts) - size)[len(counts) - size])
+    kept = Counter({p: n for p, n in seen.items() if n > least})
+    kept.update({p: least for p in islice((p for p, n in seen.items() if n == least), size - len(kept))})
+    return kept
+
+
 def frequent_pieces(
-    spark: SparkSession, own: DataFrame, cut: Callable[[str], list[str]], size: int, names: int
+    spark: SparkSession,
+    own: DataFrame,
+    cut: Callable[[str], list[str]],
+    size: int,
+    names: int,
+    into: Callable[[str], list[str]] | None = None,
 ) -> list[str]:
     """The pieces that partitions name most often, over all documents.
 
-    ``cut`` gives a text's pieces. Each partition names its ``names`` most
+    ``cut`` gives what is counted of a text, ``into`` the pieces of each such
+    part, if they are not the same. Each partition names its ``names`` most
     frequent ones; only these names are added up. The choice changes the speed
     of what follows, never its result.
     """
@@ -66,8 +86,15 @@ def frequent_pieces(
             for text in part.column("text").to_pylist():
                 seen.update(cut(text))
             if len(seen) > COUNTED:
-                seen = Counter(dict(seen.most_common(COUNTED // 2)))
-        best = [(p, n) for p, n in seen.most_common(names) if len(p) <= LONGEST]
+                seen = most_counted(seen, COUNTED // 2)
+        if into:
+            parts: Counter = Counter()
+            for part, n in seen.items():
+                for p in into(part):
+                    parts[p] += n
+            seen = parts
+        best = sorted(most_counted(seen, names).items(), key=itemgetter(1), reverse=True)
+        best = [(p, n) for p, n in best if len(p) <= LONGEST]
         yield pa.RecordBatch.from_arrays(
             [pa.array([p for p, _ in best], pa.string()), pa.array([n for _, n in best], pa.int64())], ["piece", "n"]
         )
