@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -69,14 +70,25 @@ def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
     Workers outlive a job, so what other operators left in this one is dropped
     first: a chain of operators needs the memory of one.
     """
-    for other in [name for name in _HELD if name != owner]:
-        del _HELD[other]
+    if others := [name for name in _HELD if name != owner]:
+        for other in others:
+            del _HELD[other]
+        release()
     mine = _HELD.setdefault(owner, {})
     if key not in mine:
         mine[key] = make()
     return mine[key]
 
 
+def release() -> None:
+    """Give memory that this worker no longer uses back to the system, for the tasks beside it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
 class WordCache:
     """Values of repeated words, in two generations so that its memory stays bounded.
 

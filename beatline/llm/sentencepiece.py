@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from beatline.llm.common import prepared, ship, slices, worker_cache
+from beatline.llm.common import prepared, release, ship, slices, worker_cache
 from beatline.llm.token_counts import frequent_pieces
 from beatline.runtime import BROADCAST_ROWS, store
 
@@ -115,12 +116,9 @@ def word_units(word: str, prefix: bool = True) -> list[str]:
 
 def split_unit(unit: str, own: Model) -> list[str]:
     """Parts of a unit between which no piece can lie: its two characters stand in no piece together."""
-    parts, begin, pairs = [], 0, own.pairs
-    for end in range(1, len(unit)):
-        if unit[end - 1 : end + 1] not in pairs:
-            parts.append(unit[begin:end])
-            begin = end
-    return [*parts, unit[begin:]]
+    pairs = own.pairs
+    cuts = [k for k, pair in enumerate(map(add, unit, unit[1:]), 1) if pair not in pairs]
+    return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, None], strict=True)] if cuts else [unit]
 
 
 def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
@@ -186,6 +184,7 @@ def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
                 yield lists(whole.slice(0, cut_at))
         if rest is not None and len(rest):
             yield lists(rest)
+        release()
 
     def lists(rows: pa.RecordBatch) -> pa.RecordBatch:
         uid = rows.column("uid").to_numpy()
@@ -425,7 +424,7 @@ def encode(
     """
     spark = docs.sparkSession
     own, source = model(model_path), prepared(docs, id=id_col, text=text_col)
-    prefix = own.prefix
+    prefix, opening = own.prefix, SPACE if own.prefix else ""
 
     def cut(text: str) -> list[str]:
         return words(text, prefix)
@@ -452,18 +451,21 @@ def encode(
             held: set[str] = set()
             for text in part.column("text").to_pylist():
                 held.update(words(text, prefix))
-            found = {u for w in held for u in word_units(w, prefix)}
-            parts = {p for u in found.difference(known) for p in split_unit(u, mine)}
+            # A unit in the table is all that its word consists of.
+            found = {u for w in held if opening + w not in known for u in word_units(w, prefix)}
+            parts = {p for u in found if u not in known for p in split_unit(u, mine)}
             own_units = [p for p in parts.difference(known) if len(p) <= LONGEST]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own_units, pa.string()), pa.array([packed(part)[0]] * len(own_units), pa.int64())], ["unit", "block"]
             )
+        release()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, size=SLICE):
             block, payload = packed(part)
             payload = zstandard.compress(payload, 6)
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([payload], pa.binary())], ["block", "payload"])
+        release()
 
     grouped = source.mapInArrow(rare, "unit string, block long").groupBy("unit").agg(F.collect_set("block").alias("blocks"))
     sent = encode_units(grouped, own).select("blocks", "unit", "ids").mapInArrow(_to_blocks, f"block long, {_SENT}")
@@ -478,13 +480,14 @@ def encode(
         mine = _own_model(model_path)
         # The block's own units first, then the table, which all blocks share.
         own_units: dict[str, bytes] = {}
-        known, by_word = table.value, {}
+        known = table.value
         payloads = rows.column("payload").drop_null().to_pylist()
         for row in rows.filter(rows.column("units").is_valid()).select(["units", "lengths", "sizes", "codes"]).to_pylist():
             own_units.update(_unpacked(**row, own=mine))
 
         def unit_ids(unit: str) -> bytes:
-            if (ids := known.get(unit)) is None:
+            # What the block holds has no place to be split at.
+            if (ids := known.get(unit)) is None and (ids := own_units.get(unit)) is None:
                 ids = b"".join([_part_ids(p, own_units, known, mine) for p in split_unit(unit, mine)])
             return ids
 
@@ -492,19 +495,20 @@ def encode(
         for payload in payloads:
             for part in pa.ipc.open_stream(zstandard.decompress(payload)):
                 out["id"] += part.column("id").to_pylist()
-                for text in part.column("text").to_pylist():
-                    found = words(text, prefix)
-                    ids = list(map(by_word.get, found))
-                    for k in [k for k, i in enumerate(ids) if i is None]:
-                        w = found[k]
-                        if (of_word := by_word.get(w)) is None:
-                            of_word = by_word[w] = b"".join(map(unit_ids, word_units(w, prefix)))
-                        ids[k] = of_word
-                    out["ids"].append(np.frombuffer(b"".join(ids), np.int32))
+                texts = part.column("text").to_pylist()
+                found = [words(text, prefix) for text in texts]
+                by_word = {}
+                for w in set().union(*found):
+                    if (ids := known.get(opening + w)) is None and (ids := own_units.get(opening + w)) is None:
+                        ids = b"".join(map(unit_ids, word_units(w, prefix)))
+                    by_word[w] = ids
+                for text, own_words in zip(texts, found, strict=True):
+                    out["ids"].append(np.frombuffer(b"".join(map(by_word.__getitem__, own_words)), np.int32))
                     out["n"].append(len(out["ids"][-1]))
                     out["sha"].append(hashlib.sha256(text.encode()).hexdigest())
         offsets = np.concatenate([[0], np.cumsum(out["n"])]).astype(np.int32)
         flat = np.concatenate(out["ids"]) if out["ids"] else np.zeros(0, np.int32)
+        release()
         return pa.table(
             {
                 "id": pa.array(out["id"], id_type),
@@ -566,6 +570,8 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting, n = [], 0
     if n:
         yield rows()
+    waiting = []
+    release()
 
 
 def _unpacked(units: str, lengths: bytes, sizes: bytes, codes: bytes, own: Model) -> dict[str, bytes]:

@@ -162,6 +162,25 @@ def test_long_units_by_merging(t):
     assert own_sp.decode_ids(np.array(got), own) == t.replace("▁", " ")
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab. \n▁é🙂"), max_size=30), st.booleans())
+def test_words_hold_the_units(t, prefix):
+    assert [u for w in own_sp.words(t, prefix) for u in own_sp.word_units(w, prefix)] == own_sp.units(t, prefix)
+
+
+def test_only_edges_leave_the_join(spark):
+    """The join's rows are a unit's first row and its pieces of two characters and more."""
+    own = own_sp.model(PIECES)
+    units = ["▁oninganing", "zqxj", "🙂", "▁of", "a" * 64]
+    edges = own_sp.lattice(spark.createDataFrame([(u,) for u in units], "unit string").coalesce(1), own)
+    assert "LeftOuter" not in edges._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    got = {r.unit: sorted(zip(r.begins, r.ends, r.pids, strict=True)) for r in edges.collect()}
+    assert got == {
+        u: sorted((i, j, own.ids[u[i:j]]) for i in range(len(u)) for j in range(i + 2, len(u) + 1) if u[i:j] in own.ids)
+        for u in units
+    }
+
+
 def test_empty_tables(spark):
     docs = empty(spark)
     assert token_counts.token_counts(docs, BYTES).count() == 0
