@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import threading
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -63,6 +64,10 @@ def attach(left: DataFrame, right: DataFrame, key: str, spread: list[str], rows:
 
 _HELD: dict[str, dict] = {}
 
+#: Seconds that a worker keeps what it holds while no task comes.
+REST_S = 2.0
+_WAITS: list[threading.Timer] = []
+
 
 def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
     """What one operator keeps in a Python worker between its tasks.
@@ -70,6 +75,8 @@ def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
     Workers outlive a job, so what other operators left in this one is dropped
     first: a chain of operators needs the memory of one.
     """
+    while _WAITS:
+        _WAITS.pop().cancel()
     if others := [name for name in _HELD if name != owner]:
         for other in others:
             del _HELD[other]
@@ -80,6 +87,22 @@ def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
     return mine[key]
 
 
+def rest() -> None:
+    """Called at a task's end: what this worker keeps goes soon, unless another task asks for it.
+
+    A chain of operators goes on beside idle workers, in the memory they leave.
+    """
+
+    def drop() -> None:
+        _HELD.clear()
+        release()
+
+    release()
+    _WAITS.append(threading.Timer(REST_S, drop))
+    _WAITS[-1].daemon = True
+    _WAITS[-1].start()
+
+
 def release() -> None:
     """Give memory that this worker no longer uses back to the system, for the tasks beside it."""
     pa.default_memory_pool().release_unused()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beatline.llm.common import WordCache, prepared, slices, worker_cache
+from beatline.llm.common import WordCache, prepared, rest, slices, worker_cache
 from beatline.llm.substring_dedup import window_hashes
 from beatline.llm.token_counts import load_tokenizer
 
@@ -302,6 +302,7 @@ def quality(
                 ],
                 ["id", *_NAMES, *_RATES, "band", "base_failed", "kept", *(["row"] if carry else [])],
             )
+        rest()
 
     fields = ", ".join([*[f"{c} long" for c in _NAMES], *[f"{c} double" for c in _RATES]])
     schema = T.StructType([own.schema["id"]])

@@ -52,3 +52,19 @@ def test_no_words():
     table = _WordTable(_Vocabularies(PIECES, BYTES), 10)
     sizes, ids = table.pieces(table.rows([]))
     assert sizes.tolist() == ids.tolist() == []
+
+
+def test_idle_workers_drop_what_they_keep(monkeypatch):
+    import time
+
+    from beatline.llm import common
+
+    monkeypatch.setattr(common, "REST_S", 0.2)
+    first = common.worker_cache("test", "a", lambda: [1])
+    common.rest()
+    assert common.worker_cache("test", "a", lambda: [2]) is first  # another task came in time
+    time.sleep(0.6)
+    assert common.worker_cache("test", "a", lambda: [2]) is first  # it is still at work
+    common.rest()
+    time.sleep(0.6)
+    assert common.worker_cache("test", "a", lambda: [2]) == [2]
