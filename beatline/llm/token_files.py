@@ -6,7 +6,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from beatline.llm.common import UNICODE_SPACE, WordCache, prepared, ship, slices
 from beatline.llm.pfor import END, File, Writer
-from beatline.llm.token_counts import tokenizer
+from beatline.llm.token_counts import load_tokenizer, tokenizer
 from beatline.runtime import partitions_for, scratch_path, store
 
 #: Documents one file is meant to hold.
@@ -25,6 +25,9 @@ FILE_DOCS = 20_000
 #: Words, and parts of words, a worker's caches hold in each of their two generations.
 CACHED, CACHED_PARTS = 600_000, 400_000
 
+#: UTF-8 bytes of text encoded at once.
+SLICE = 1 << 20
+
 #: Fixed value: pre-tokens of tokenizers that never join a letter or digit to what ends a word after it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -34,12 +37,34 @@ _ODD = re.compile("[\x1c-\x1f]")
 # What may be cut off a word's end, and the Latin letters and digits, one to one in lower case, it may be cut from.
 _ENDING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _STEM = frozenset(c for c in map(chr, range(256)) if c.isascii() and c.isalnum() or c >= "\xc0" and c.isalpha())
+# Latin letters that NFC and lower case leave as they are: one pre-token, however many.
+_PLAIN = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _CACHES: dict[str, WordCache] = {}
 
 
 def word_ids(path: str, words: list[str]) -> list[bytes]:
-    encoded = tokenizer(path).encode_batch_fast(words, add_special_tokens=False)
-    return [array("I", e.ids).tobytes() for e in encoded]
+    return _ids(tokenizer(path), words)
+
+
+def _ids(own, words: list[str]) -> list[bytes]:
+    return [array("I", e.ids).tobytes() for e in own.encode_batch_fast(words, add_special_tokens=False)]
+
+
+def plain_ids(path: str) -> Callable[[list[str]], list[bytes]]:
+    """``word_ids`` that spares plain words the normalizers and cuts, which change nothing in them."""
+    from tokenizers import normalizers, pre_tokenizers
+
+    plain = load_tokenizer(path)
+    plain.normalizer = normalizers.Sequence([])
+    plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def encode(words: list[str]) -> list[bytes]:
+        is_plain = [_PLAIN.fullmatch(w) is not None for w in words]
+        simple = iter(_ids(plain, [w for w, p in zip(words, is_plain, strict=True) if p]))
+        others = iter(word_ids(path, [w for w, p in zip(words, is_plain, strict=True) if not p]))
+        return [next(simple) if p else next(others) for p in is_plain]
+
+    return encode
 
 
 def word_parts(words: list[str], specials: list[str]) -> list[tuple[str, str]]:
@@ -76,7 +101,8 @@ def _cache(path: str) -> WordCache:
     if not lower or not cuts or cuts[0].get("pattern") != {"Regex": SPLIT} or own.post_processor:
         return whole
     specials = [t.content.lower() for t in own.get_added_tokens_decoder().values()]
-    small = WordCache(lambda w: word_ids(path, w), CACHED_PARTS)
+    bytewise = cuts[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+    small = WordCache(plain_ids(path) if bytewise else lambda w: word_ids(path, w), CACHED_PARTS)
 
     def by_parts(words: list[str]) -> list[bytes]:
         parts = word_parts(words, specials)
@@ -132,7 +158,7 @@ def write_token_files(
         writer = Writer(TaskContext.get().partitionId(), block, percentile)
         end = array("I", [end_id]).tobytes()
         begun = False
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE):
             records = [] if begun else [writer.head]
             begun = True
             texts = encode_texts(tokenizer_path, part.column("text").to_pylist(), end)

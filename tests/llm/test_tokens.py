@@ -192,3 +192,13 @@ def test_ids_sorted_with_nulls_first(spark):
     found = token_files.token_files(frame(spark, [(5, "b", "", ""), (None, "a", "", ""), (-3, "c", "", "")]), WORDS)
     assert [r.id for r in found.orderBy("start").collect()] == [None, -3, 5]
     assert null_last(None) > null_last(5)
+
+
+def test_plain_words_are_spared_the_normalizers(monkeypatch):
+    words = ["plain", "straße", "naïve", "ÿ", "×", "don't", "Ünï", "x1", "e\u0301", "<|endoftext|>", "日本"]
+    want = token_files.word_ids(WORDS, words)
+    asked = []
+    whole = token_files.word_ids
+    monkeypatch.setattr(token_files, "word_ids", lambda path, w: asked.extend(w) or whole(path, w))
+    assert token_files.plain_ids(WORDS)(words) == want
+    assert asked == words[4:]
