@@ -87,18 +87,22 @@ def worker_cache(owner: str, key: object, make: Callable[[], object]) -> object:
     return mine[key]
 
 
-def rest() -> None:
+def rest(seconds: float | None = None) -> None:
     """Called at a task's end: what this worker keeps goes soon, unless another task asks for it.
 
     A chain of operators goes on beside idle workers, in the memory they leave.
+    After 0 ``seconds`` (default: REST_S) it goes before the task has ended.
     """
 
     def drop() -> None:
         _HELD.clear()
         release()
 
+    if seconds == 0:
+        drop()
+        return
     release()
-    _WAITS.append(threading.Timer(REST_S, drop))
+    _WAITS.append(threading.Timer(REST_S if seconds is None else seconds, drop))
     _WAITS[-1].daemon = True
     _WAITS[-1].start()
 

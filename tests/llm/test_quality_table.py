@@ -68,3 +68,34 @@ def test_idle_workers_drop_what_they_keep(monkeypatch):
     common.rest()
     time.sleep(0.6)
     assert common.worker_cache("test", "a", lambda: [2]) == [2]
+
+
+def test_a_chain_drops_what_a_worker_keeps_before_its_task_ends():
+    from beatline.llm import common
+
+    common.worker_cache("test", "a", lambda: [1])
+    common.rest(0)
+    assert "test" not in common._HELD
+
+
+def test_a_carried_rows_text_travels_once():
+    import pyarrow as pa
+
+    from beatline.llm.quality import _with_text
+
+    rows = pa.array([{"doc_id": 1, "text": "a b"}, {"doc_id": 2, "text": None}, {"doc_id": 3, "text": "c"}])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), rows], ["id", "row"]).slice(1)
+    (got,) = _with_text(iter([batch]), "text")
+    assert got.schema.names == ["id", "row", "text"] and got.column("text").to_pylist() == ["", "c"]
+
+
+def test_the_pipelines_batches_are_bounded(spark):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.newSession()
+    corpus_pipeline._bounded(own)
+    assert own.conf.get(key) == f"{4 << 20}b"
+    own.conf.set(key, "100b")
+    corpus_pipeline._bounded(own)
+    assert own.conf.get(key) == "100b"
