@@ -7,7 +7,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ HEAD = 3
 TABLE, NAMED = 150_000, 20_000
 
 #: UTF-8 bytes of text in a block of documents, and units on their way back that are packed at once.
-SLICE, PACKED = 2 << 20, 200_000
+SLICE, PACKED = 8 << 20, 200_000
 
 # No piece joins a character other than a space to a space after it, and none
 # holds a newline (checked when a model is read): units end there.
@@ -45,7 +44,10 @@ _NONE = (1 << 31) - 1
 
 @dataclass(frozen=True)
 class Model:
-    """What a model file says; ``ranks`` orders its normal pieces by falling score."""
+    """What a model file says; ``ranks`` orders its normal pieces by falling score.
+
+    ``pairs`` has the neighbouring characters of pieces as numbers, in order.
+    """
 
     unigram: bool
     prefix: bool
@@ -53,9 +55,9 @@ class Model:
     scores: dict[str, float]
     ranks: dict[str, int]
     bytes_: list[int]
-    surface: list[bytes | None]
+    surface: list[bytes]
     longest: int
-    pairs: frozenset[str]
+    pairs: np.ndarray
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +76,7 @@ def model(path: str) -> Model:
         raise ValueError("only models with byte fallback whose pieces start at spaces")
     scores = {p: own.pieces[i].score for p, i in normal.items()}
     steps = {s: k for k, s in enumerate(sorted(set(scores.values()), reverse=True))}
-    surface: list[bytes | None] = [p.piece.replace(SPACE, " ").encode() if p.type == kinds.NORMAL else None for p in own.pieces]
+    surface = [p.piece.replace(SPACE, " ").encode() if p.type == kinds.NORMAL else b"" for p in own.pieces]
     for k in range(256):
         surface[byte[f"<0x{k:02X}>"]] = bytes([k])
     return Model(
@@ -86,7 +88,7 @@ def model(path: str) -> Model:
         [byte[f"<0x{k:02X}>"] for k in range(256)],
         surface,
         max(map(len, normal)),
-        frozenset(p[i : i + 2] for p in normal for i in range(len(p) - 1)),
+        np.array(sorted({ord(p[i]) << 21 | ord(p[i + 1]) for p in normal for i in range(len(p) - 1)}), np.int64),
     )
 
 
@@ -111,14 +113,27 @@ def words(text: str, prefix: bool = True) -> list[str]:
 
 
 def word_units(word: str, prefix: bool = True) -> list[str]:
+    if prefix and SPACE not in word and "\n" not in word:
+        return [SPACE + word]
     return _UNIT.findall(SPACE + word) if prefix else [word]
 
 
-def split_unit(unit: str, own: Model) -> list[str]:
-    """Parts of a unit between which no piece can lie: its two characters stand in no piece together."""
+def split_units(found: list[str], own: Model) -> tuple[list[str], list[int]]:
+    """Parts of units between which no piece can lie, and how many parts each unit has.
+
+    A unit is cut between two characters that stand in no piece together.
+    """
+    text = "".join(found)
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    near = (codes[:-1] << 21) | codes[1:]
     pairs = own.pairs
-    cuts = [k for k, pair in enumerate(map(add, unit, unit[1:]), 1) if pair not in pairs]
-    return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, None], strict=True)] if cuts else [unit]
+    at = np.searchsorted(pairs, near)
+    cut = np.append(pairs[np.minimum(at, len(pairs) - 1)] != near, True)[: len(codes)] if len(pairs) else np.ones(len(codes), bool)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+    cut[ends - 1] = True
+    bounds = (np.flatnonzero(cut) + 1).tolist()
+    counts = np.diff(np.cumsum(cut)[ends - 1], prepend=0).tolist()
+    return [text[a:b] for a, b in zip([0, *bounds], bounds, strict=False)], counts
 
 
 def lattice(unit_rows: DataFrame, own: Model) -> DataFrame:
@@ -223,7 +238,14 @@ def _in_rank_order(width: int):
     def step(ends, k):
         begin, end = F.get("begins", k), F.get("ends", k)
         middle = F.get(ends, begin)
-        merged = F.transform(ends, lambda x, i: F.when(i == begin, end).when(i == middle, -1).otherwise(x))
+        # Sliced, not transformed: a lambda would work out begin, middle and end for each character.
+        merged = F.concat(
+            F.slice(ends, 1, begin),
+            F.array(end),
+            F.slice(ends, begin + 2, middle - begin - 1),
+            F.array(F.lit(-1)),
+            F.slice(ends, middle + 2, F.size(ends)),
+        )
         left = F.array_position(ends, begin).cast("int") - 1
         after = F.array_position("keys", begin * width + F.get(ends, end) - begin)
         before = F.array_position("keys", left * width + end - left)
@@ -453,8 +475,8 @@ def encode(
                 held.update(words(text, prefix))
             # A unit in the table is all that its word consists of.
             found = {u for w in held if opening + w not in known for u in word_units(w, prefix)}
-            parts = {p for u in found if u not in known for p in split_unit(u, mine)}
-            own_units = [p for p in parts.difference(known) if len(p) <= LONGEST]
+            parts = set(split_units([u for u in found if u not in known], mine)[0])
+            own_units = [p for p in parts if len(p) <= LONGEST and p not in known]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own_units, pa.string()), pa.array([packed(part)[0]] * len(own_units), pa.int64())], ["unit", "block"]
             )
@@ -468,7 +490,7 @@ def encode(
         release()
 
     grouped = source.mapInArrow(rare, "unit string, block long").groupBy("unit").agg(F.collect_set("block").alias("blocks"))
-    sent = encode_units(grouped, own).select("blocks", "unit", "ids").mapInArrow(_to_blocks, f"block long, {_SENT}")
+    sent = encode_units(grouped, own).select("blocks", "ids").mapInArrow(_to_blocks, f"block long, {_SENT}")
     held = source.mapInArrow(blocks, "block long, payload binary")
     both = sent.withColumn("payload", F.lit(None).cast("binary")).unionByName(held, allowMissingColumns=True)
     kind = source.schema["id"].dataType.simpleString()
@@ -482,28 +504,39 @@ def encode(
         own_units: dict[str, bytes] = {}
         known = table.value
         payloads = rows.column("payload").drop_null().to_pylist()
-        for row in rows.filter(rows.column("units").is_valid()).select(["units", "lengths", "sizes", "codes"]).to_pylist():
+        for row in rows.filter(rows.column("codes").is_valid()).select(["n", "codes"]).to_pylist():
             own_units.update(_unpacked(**row, own=mine))
 
-        def unit_ids(unit: str) -> bytes:
+        def ids_of(found: set[str]) -> dict[str, bytes]:
+            by_word, late = {}, []
+            for w in found:
+                if (ids := known.get(u := opening + w)) is None and (ids := own_units.get(u)) is None:
+                    late.append(w)
+                else:
+                    by_word[w] = ids
+            cuts = [word_units(w, prefix) for w in late]
             # What the block holds has no place to be split at.
-            if (ids := known.get(unit)) is None and (ids := own_units.get(unit)) is None:
-                ids = b"".join([_part_ids(p, own_units, known, mine) for p in split_unit(unit, mine)])
-            return ids
+            others = list({u for c in cuts for u in c if u not in known and u not in own_units})
+            parts, counts = split_units(others, mine)
+            part_ids, at, by_unit = [_part_ids(p, own_units, known, mine) for p in parts], 0, {}
+            for u, n in zip(others, counts, strict=True):
+                by_unit[u] = part_ids[at] if n == 1 else b"".join(part_ids[at : at + n])
+                at += n
+            for w, c in zip(late, cuts, strict=True):
+                by_word[w] = b"".join([by_unit.get(u) or known.get(u) or own_units[u] for u in c])
+            return by_word
 
         out: dict[str, list] = {"id": [], "ids": [], "n": [], "sha": []}
         for payload in payloads:
             for part in pa.ipc.open_stream(zstandard.decompress(payload)):
                 out["id"] += part.column("id").to_pylist()
                 texts = part.column("text").to_pylist()
-                found = [words(text, prefix) for text in texts]
-                by_word = {}
-                for w in set().union(*found):
-                    if (ids := known.get(opening + w)) is None and (ids := own_units.get(opening + w)) is None:
-                        ids = b"".join(map(unit_ids, word_units(w, prefix)))
-                    by_word[w] = ids
-                for text, own_words in zip(texts, found, strict=True):
-                    out["ids"].append(np.frombuffer(b"".join(map(by_word.__getitem__, own_words)), np.int32))
+                found: set[str] = set()
+                for text in texts:
+                    found.update(words(text, prefix))
+                by_word = ids_of(found)
+                for text in texts:  # cut again: all words of a block would fill the worker
+                    out["ids"].append(np.frombuffer(b"".join(map(by_word.__getitem__, words(text, prefix))), np.int32))
                     out["n"].append(len(out["ids"][-1]))
                     out["sha"].append(hashlib.sha256(text.encode()).hexdigest())
         offsets = np.concatenate([[0], np.cumsum(out["n"])]).astype(np.int32)
@@ -522,20 +555,20 @@ def encode(
     return both.groupBy("block").applyInArrow(joined, schema)
 
 
-_SENT = "units string, lengths binary, sizes binary, codes binary"
+_SENT = "n int, codes binary"
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units and their ids put together by the blocks that hold them, one row a block.
 
-    ``units`` is one string, ``lengths`` and ``sizes`` have a byte a unit: its
-    characters and its ids, both at most LONGEST. ``codes`` has the low halves of
-    all ids, then the high ones.
+    ``codes`` has, compressed, a byte for each of ``n`` units, the number of its
+    ids (at most LONGEST), then all ids, first their lowest bytes. The ids alone
+    say what the units are: their pieces, put together.
     """
-    waiting, n = [], 0
+    waiting, n, packer = [], 0, zstandard.ZstdCompressor(3)
 
     def rows() -> pa.RecordBatch:
-        table = pa.Table.from_batches(waiting).combine_chunks()
+        table = pa.Table.from_batches(waiting).select(["blocks", "ids"]).combine_chunks()
         lists, ids = table.column("blocks").chunk(0), table.column("ids").chunk(0)
         block = lists.flatten().to_numpy()
         order = np.argsort(block, kind="stable")
@@ -543,22 +576,19 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.asarray(pc.list_parent_indices(lists))[order]
         first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         ends = np.append(first[1:], len(block)).tolist()
-        texts, out = table.column("unit").to_pylist(), {c: [] for c in ("units", "lengths", "sizes", "codes")}
+        out = {"n": [], "codes": []}
         flat, begins = ids.flatten().to_numpy(), ids.offsets.to_numpy().astype(np.int64)
         begins -= begins[0]
         counts = np.diff(begins)
         for begin, end in zip(first.tolist(), ends, strict=True):
             mine = of[begin:end]
-            own_texts = [texts[i] for i in mine.tolist()]
             sizes = counts[mine]
             codes = flat[np.repeat(begins[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
-            out["units"].append("".join(own_texts))
-            out["lengths"].append(bytes(map(len, own_texts)))
-            out["sizes"].append(sizes.astype(np.uint8).tobytes())
-            out["codes"].append(codes.astype(np.uint16).tobytes() + (codes >> 16).astype(np.int16).tobytes())
-        kinds = (pa.string(), pa.binary(), pa.binary(), pa.binary())
+            planes = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T
+            out["n"].append(len(mine))
+            out["codes"].append(packer.compress(sizes.astype(np.uint8).tobytes() + planes.tobytes()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(block[first]), *[pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)]], ["block", *out]
+            [pa.array(block[first]), pa.array(out["n"], pa.int32()), pa.array(out["codes"], pa.binary())], ["block", *out]
         )
 
     for batch in batches:
@@ -574,25 +604,35 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _unpacked(units: str, lengths: bytes, sizes: bytes, codes: bytes, own: Model) -> dict[str, bytes]:
+def _unpacked(n: int, codes: bytes, own: Model) -> dict[str, bytes]:
     """Units of a block and their ids as bytes."""
-    half = len(codes) // 2
-    flat = np.frombuffer(codes, np.int16, offset=half).astype(np.int32) << 16 | np.frombuffer(codes, np.uint16, half // 2)
+    codes = zstandard.decompress(codes)
+    sizes = np.frombuffer(codes, np.uint8, n).astype(np.int64)
+    flat = np.ascontiguousarray(np.frombuffer(codes, np.uint8, offset=n).reshape(4, -1).T).view("<i4").ravel()
+    names = worker_cache("sentencepiece", "names", lambda: _names(own))
+    parts = [names[i] if i >= 0 else chr(-1 - i) for i in flat.tolist()]
+    ends, text = np.cumsum(sizes), "".join(parts)
+    bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])[ends].tolist()
+    texts = [text[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
     by_char = worker_cache("sentencepiece", "characters", lambda: _characters(own))
+    ids = flat.copy()
     alone = (flat < 0) & (flat >= -len(by_char))
-    flat[alone] = by_char[-1 - flat[alone]]
-    ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64))
-    raw, at, found, begin = flat.tobytes(), (ends * 4).tolist(), {}, 0
-    texts = []
-    for n in lengths:
-        texts.append(units[begin : begin + n])
-        begin += n
+    ids[alone] = by_char[-1 - flat[alone]]
+    raw, at = ids.tobytes(), (ends * 4).tolist()
     found = {u: raw[b:e] for u, b, e in zip(texts, [0, *at], at, strict=False)}
-    for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), side="right")).tolist():
-        found[texts[i]] = with_bytes(flat[ends[i] - sizes[i] : ends[i]].tolist(), own).tobytes()
+    for i in np.unique(np.searchsorted(ends, np.flatnonzero(ids < 0), side="right")).tolist():
+        found[texts[i]] = with_bytes(ids[ends[i] - sizes[i] : ends[i]].tolist(), own).tobytes()
     return found
 
 
+def _names(own: Model) -> list[str]:
+    """Pieces by id."""
+    names = [""] * len(own.surface)
+    for p, i in own.ids.items():
+        names[i] = p
+    return names
+
+
 def _characters(own: Model) -> np.ndarray:
     """Ids of single characters below 65,536, -1 - c for a character c without piece."""
     ids = -1 - np.arange(1 << 16, dtype=np.int32)
@@ -623,7 +663,7 @@ def _arrow_type(kind: str) -> pa.DataType:
 
 def decode_ids(ids: np.ndarray, own: Model) -> str:
     """The text of one document's ids; ids without surface add nothing, broken bytes become U+FFFD."""
-    text = b"".join([s for i in ids.tolist() if (s := own.surface[i]) is not None]).decode("utf-8", "replace")
+    text = b"".join(map(own.surface.__getitem__, ids.tolist())).decode("utf-8", "replace")
     return text[1:] if own.prefix and text.startswith(" ") else text
 
 

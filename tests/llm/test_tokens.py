@@ -202,3 +202,34 @@ def test_plain_words_are_spared_the_normalizers(monkeypatch):
     monkeypatch.setattr(token_files, "word_ids", lambda path, w: asked.extend(w) or whole(path, w))
     assert token_files.plain_ids(WORDS)(words) == want
     assert asked == words[4:]
+
+
+def test_units_are_split_where_no_piece_can_lie():
+    own = own_sp.model(PIECES)
+    pairs = {p[i : i + 2] for p in own.ids for i in range(len(p) - 1)}
+    found = ["▁the", "▁", "▁ñadoiega", "日本x", "a🙂🙂b", "ß", "\n", "▁▁▁"]
+    parts, counts = own_sp.split_units(found, own)
+    assert sum(counts) == len(parts)
+    for unit, n in zip(found, counts, strict=True):
+        mine, parts = parts[:n], parts[n:]
+        assert "".join(mine) == unit and all(mine)
+        assert all(a[-1] + b[0] not in pairs for a, b in zip(mine, mine[1:], strict=False))
+        assert all(p[i : i + 2] in pairs for p in mine for i in range(len(p) - 1))
+    assert own_sp.split_units([], own) == ([], [])
+
+
+def test_units_come_back_as_ids_alone():
+    import pyarrow as pa
+
+    own = own_sp.model(PIECES)
+    units = ["▁the", "▁ñadoiega", "🙂", "a日", "é", "▁zxqj"]
+    ids = [own_sp.long_unit(u, own) for u in units]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([[7], [9, 7], [9], [7], [9], [-3]]), pa.array(units), pa.array(ids, pa.list_(pa.int32()))], ["blocks", "unit", "ids"]
+    )
+    sent = [r for b in own_sp._to_blocks(iter([batch])) for r in b.to_pylist()]
+    assert set(sent[0]) == {"block", "n", "codes"}
+    for row in sent:
+        mine = [k for k, blocks in enumerate([[7], [9, 7], [9], [7], [9], [-3]]) if row["block"] in blocks]
+        want = {units[k]: own_sp.with_bytes(ids[k], own).tobytes() for k in mine}
+        assert own_sp._unpacked(row["n"], row["codes"], own) == want
