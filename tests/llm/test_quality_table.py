@@ -96,6 +96,6 @@ def test_the_pipelines_batches_are_bounded(spark):
     own = spark.newSession()
     corpus_pipeline._bounded(own)
     assert own.conf.get(key) == f"{4 << 20}b"
-    own.conf.set(key, "100b")
+    own.conf.set(key, "8m")
     corpus_pipeline._bounded(own)
-    assert own.conf.get(key) == "100b"
+    assert own.conf.get(key) == "8m"
